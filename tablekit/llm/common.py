@@ -49,15 +49,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_labels(docs: DataFrame, labels: DataFrame, id_col: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """docs joined to labels on id_col; labels are broadcast only if they are counted to be few.
-
-    A document labelled twice keeps one row: labels must have been reduced to one row an id.
-    """
-    few = labels.count() <= broadcast_rows
-    return docs.join(F.broadcast(labels) if few else labels, id_col)
-
-
 def text_digest(text: Column) -> Column:
     """128 bits of SHA-256: the identity of a text."""
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)

@@ -22,14 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import with_labels, written
+from tablekit.llm.common import BROADCAST_ROWS, written
 
 BUCKETS = 1 << 18
 PRIOR = 16.0
 THRESHOLD = -0.25
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-WINDOW = 8
+WINDOW = 8  # as the doublings in base_rules make it
 
 _BLANKS = " \t\n\x0b\f\r"
 _BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -41,11 +41,23 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed != "", F.split(trimmed, _BLANK_RUN)).otherwise(F.array().cast("array<string>"))
 
 
-def _gram_buckets(words: Column, buckets: int) -> Column:
+def _pairs(column: str, apart: int) -> Column:
+    """Hashes of each element with the one `apart` places on; shorter by `apart`."""
+    return F.transform(F.slice(column, apart + 1, F.greatest(F.size(column) - apart, F.lit(0))), lambda h, i: F.xxhash64(F.get(F.col(column), i), h))
+
+
+def _hashed(words: DataFrame) -> DataFrame:
+    """words with the hashes __h1 of its __words and __h2 of pairs of them.
+
+    Each array is a column of its own before a lambda looks into it: an
+    expression in its place would be evaluated for each element.
+    """
+    return words.withColumn("__h1", F.transform("__words", lambda w: F.xxhash64(w))).withColumn("__h2", _pairs("__h1", 1))
+
+
+def _gram_buckets(buckets: int) -> Column:
     """Buckets of all 1-grams, then of all 2-grams."""
-    ones = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    twos = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.pmod(F.xxhash64(F.get(words, i), w), F.lit(buckets)).cast("int"))
-    return F.concat(ones, twos)
+    return F.transform(F.concat("__h1", "__h2"), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
 
 
 def _repeated_words(keyed: Column, window: int) -> Column:
@@ -60,26 +72,26 @@ def _repeated_words(keyed: Column, window: int) -> Column:
 
 
 def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, words and the counts of the base rules."""
+    """id, hashes of words and of pairs of them, and the counts of the base rules; a window is eight words."""
     blank = F.lit(r"^[\x20\x09-\x0D]*$")
     text = F.coalesce(F.col(text_col), F.lit(""))
     split = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), words_of(text).alias("__words"), F.filter(F.split(text, "\n"), lambda x: ~F.rlike(x, blank)).alias("__lines"))
-    grams = F.transform(F.slice("__words", WINDOW, F.greatest(F.size("__words") - WINDOW + 1, F.lit(0))), lambda w, i: F.xxhash64(F.slice("__words", i + 1, WINDOW)))
-    counted = split.select(
+    counted = _hashed(split).select(
         "__id",
-        "__words",
+        "__h1",
+        "__h2",
         F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         (F.length("__text") - F.length(F.regexp_replace("__text", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        grams.alias("__grams"),
     )
+    counted = counted.withColumn("__h4", _pairs("__h2", 2)).withColumn("__grams", _pairs("__h4", 4))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
     keyed = F.sort_array(F.transform("__grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     again = F.size(F.array_distinct("__grams")) < F.size("__grams")
-    kept = counted.select("__id", "__words", *base, F.when(again, keyed).alias("__keyed"))
+    kept = counted.select("__id", "__h1", "__h2", *base, F.when(again, keyed).alias("__keyed"))
     repeated = F.when(F.col("__keyed").isNull(), F.lit(0)).otherwise(_repeated_words(F.col("__keyed"), WINDOW))
-    return kept.select("__id", "__words", *base, repeated.cast("long").alias("n_repeat_words"))
+    return kept.select("__id", "__h1", "__h2", *base, repeated.cast("long").alias("n_repeat_words"))
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
@@ -87,17 +99,19 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
 
     trusted has the ids of the trusted documents; its size decides only how it is joined.
     """
-    docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    ids = trusted.select(F.col(id_col).alias("__id")).distinct()
-
-    def counted(some: DataFrame, name: str) -> DataFrame:
-        words = some.select(words_of(F.col("__text")).alias("__words"))
-        grams = words.select(F.explode(_gram_buckets(F.col("__words"), buckets)).alias("bucket"))
-        return grams.groupBy("bucket").agg(F.count("*").alias(name))
-
-    raw = counted(docs, "raw")
-    target = counted(with_labels(docs, ids, "__id"), "target")
-    both = raw.join(target, "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
+    ids = trusted.select(F.col(id_col).alias("__id"), F.lit(1).alias("__trusted")).distinct()
+    words = docs.select(F.col(id_col).alias("__id"), words_of(F.col(text_col)).alias("__words"))
+
+    def counted(some: DataFrame, flag: Column) -> DataFrame:
+        grams = _hashed(some).select(flag.alias("__trusted"), F.explode(_gram_buckets(buckets)).alias("bucket"))
+        return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__trusted").alias("target"))
+
+    if ids.count() <= BROADCAST_ROWS:
+        both = counted(words.join(F.broadcast(ids), "__id", "left"), F.col("__trusted"))
+    else:  # only the trusted documents are shuffled
+        raw, target = counted(words, F.lit(None).cast("int")), counted(words.join(ids, "__id"), F.col("__trusted"))
+        both = raw.select("bucket", "raw").join(target.select("bucket", "target"), "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
+    both = written(both, "grams")
     sums = both.agg(F.sum("raw").alias("r"), F.sum("target").alias("t")).first()
     scale = sums["r"] / sums["t"] if sums["t"] else 0.0
     ratio = F.log((F.col("target") * scale + prior) / (F.col("raw") + prior)) if scale else F.lit(0.0)
@@ -111,10 +125,10 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     (16 bytes a row).  A document's n-grams meet it within the document's task;
     only one partial sum a document is shuffled.
     """
-    ratios = written(ratio_table(docs, trusted, id_col, text_col, buckets, prior), "ratios")
+    ratios = ratio_table(docs, trusted, id_col, text_col, buckets, prior)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     counted = base_rules(docs, id_col, text_col).withColumn("__row", F.monotonically_increasing_id())
-    grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(F.col("__words"), buckets)).alias("bucket"))
+    grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(buckets)).alias("bucket"))
     met = grams.join(F.broadcast(ratios), "bucket", "left")
     scored = met.groupBy("__row", "__id", *base).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
