@@ -396,9 +396,9 @@ class Encoder:
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
     data, offs = buffers(column)
-    raw = data.tobytes()
     for a, b in pieces(offs, PIECE_BYTES):
-        yield a, b, [raw[offs[i] : offs[i + 1]].decode("utf-8", "replace") for i in range(a, b)]
+        raw, at = data[offs[a] : offs[b]].tobytes(), (offs[a : b + 1] - offs[a]).tolist()
+        yield a, b, [raw[s:e].decode("utf-8", "replace") for s, e in zip(at[:-1], at[1:])]
 
 
 _KEPT: dict = {}
@@ -421,6 +421,10 @@ def count_words(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Dat
     """word (bytes) and n, how often it occurs as a pre-token, over all texts."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    def merge(parts: list[pa.Table]) -> pa.Table:
+        merged = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
+        return merged.cast(pa.schema([("word", pa.binary()), ("n", pa.int64())]))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _kept(f"v{hash(sent.value)}", lambda: Vocabulary(sent.value))
         for batch in batches:
@@ -431,9 +435,12 @@ def count_words(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Dat
                 words = pa.BinaryArray.from_buffers(pa.binary(), len(t.starts), [None, pa.py_buffer(offsets), pa.py_buffer(t.data)])
                 found = pc.value_counts(words)
                 parts.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+                if len(parts) == 16:
+                    parts = [merge(parts)]
             if parts:
-                merged = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
-                yield from merged.cast(pa.schema([("word", pa.binary()), ("n", pa.int64())])).to_batches()
+                yield from merge(parts).to_batches()
+            parts.clear()
+            pa.default_memory_pool().release_unused()
 
     counted = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -457,8 +464,19 @@ def compile_lexicon(docs: DataFrame, vocabulary: str, text_col: str = "text", mo
     return build_lexicon(words, Vocabulary(vocabulary).merge(words))
 
 
-def encode(docs: DataFrame, vocabulary: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id and ids (little-endian unsigned 32-bit integers, as binary) of every text."""
+def _decoded(vocabulary: Vocabulary, ids: list[np.ndarray]) -> list[str]:
+    flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int64)
+    lengths = vocabulary.lengths[flat]
+    raw = _gather(vocabulary.bytes, vocabulary.starts[flat], lengths).tobytes()
+    ends = np.append(0, np.cumsum(lengths))[np.cumsum([0, *map(len, ids)])].tolist()
+    return [raw[s:e].decode("utf-8", "replace") for s, e in zip(ends[:-1], ends[1:])]
+
+
+def encode(docs: DataFrame, vocabulary: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """id and ids (little-endian unsigned 32-bit integers, as binary) of every text.
+
+    With `decoded` also the text that the ids decode to, made in the same pass.
+    """
     sc = docs.sparkSession.sparkContext
     vocab_sent, lexicon_sent = sc.broadcast(vocabulary), sc.broadcast(lexicon)
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
@@ -467,27 +485,27 @@ def encode(docs: DataFrame, vocabulary: str, lexicon: bytes, id_col: str = "doc_
         encoder = _kept(f"e{hash(vocab_sent.value)}{hash(lexicon_sent.value)}", lambda: Encoder(Vocabulary(vocab_sent.value), Lexicon(lexicon_sent.value)))
         for batch in batches:
             for a, b, texts in _texts(batch.column(1)):
-                ids = [x.astype("<u4").tobytes() for x in encoder.encode(texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary())], ["__id", "ids"])
+                ids = encoder.encode(texts)
+                columns = [batch.column(0).slice(a, b - a), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())]
+                if decoded:
+                    columns.append(pa.array(_decoded(encoder.vocabulary, ids), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["__id", "ids", "decoded"][: len(columns)])
 
-    return source.mapInArrow(run, f"__id {source.schema['__id'].dataType.simpleString()}, ids binary").withColumnRenamed("__id", id_col)
+    schema = f"__id {source.schema['__id'].dataType.simpleString()}, ids binary" + ", decoded string" * decoded
+    return source.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id, ids and the decoded text; bytes that make no UTF-8 become U+FFFD."""
+    """id, ids and the decoded text; bytes that make no UTF-8 become U+FFFD.  Null ids decode to the empty text."""
     sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
-    source = encoded.select(F.col(id_col).alias("__id"), F.col(ids_col).alias("ids"))
+    source = encoded.select(F.col(id_col).alias("__id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = _kept(f"v{hash(sent.value)}", lambda: Vocabulary(sent.value))
         for batch in batches:
-            data, offs = buffers(batch.column(1).cast(pa.binary()).fill_null(b""))
+            data, offs = buffers(batch.column(1))
             for a, b in pieces(offs):
-                ids = np.frombuffer(data[offs[a] : offs[b]].tobytes(), "<u4").astype(np.int64)
-                lengths = vocab.lengths[ids]
-                text = _gather(vocab.bytes, vocab.starts[ids], lengths).tobytes()
-                ends = np.append(0, np.cumsum(lengths))[(offs[a : b + 1] - offs[a]) // 4]
-                texts = [text[s:e].decode("utf-8", "replace") for s, e in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(texts, pa.string())], ["__id", "ids", "decoded"])
+                ids = [np.frombuffer(data[s:e].tobytes(), "<u4") for s, e in zip(offs[a:b], offs[a + 1 : b + 1])]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(_decoded(vocab, ids), pa.string())], ["__id", "ids", "decoded"])
 
     return source.mapInArrow(run, f"__id {source.schema['__id'].dataType.simpleString()}, ids binary, decoded string").withColumnRenamed("__id", id_col)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, quality, url_filter
+from tablekit.llm import bpe, decontaminate, html_extract, quality, url_filter, warc
 from tablekit.llm.common import table
 
 #: The rules of op10: (action, host, path).
@@ -28,11 +28,23 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, vocabulary = table(spark, sf_dir, "documents"), bpe.read_vocabulary(tokenizer_path())
-    encoded = bpe.encode(docs, vocabulary, bpe.compile_lexicon(docs, vocabulary))
-    decoded = bpe.decode(encoded, vocabulary)
+    decoded = bpe.encode(docs, vocabulary, bpe.compile_lexicon(docs, vocabulary), decoded=True)
     return decoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index, path = warc.archive(pages)
+    page_id = lambda c: F.when(F.col(c) != "", F.col(c)).cast(pages.schema["page_id"].dataType)
+    found = warc.read(index, path)
+    return found.select(page_id("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), page_id("refers_to").alias("refers_to"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter("quality = 1"))
 
@@ -42,7 +54,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op5_bpe, op8_quality, op10_url_filter)}
+    return {f.__name__: f for f in (op2_decontaminate, op5_bpe, op6_html_extract, op7_warc, op8_quality, op10_url_filter)}
 
 
 _OP2_SQL = r"""
@@ -68,6 +80,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
 
+_OP7_SQL = r"""
+WITH page AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS h FROM pages
+), ranked AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS head, row_number() OVER (PARTITION BY payload ORDER BY page_id DESC) AS k FROM page
+), bits AS (
+  SELECT *, array_to_string(list_transform(range(40), lambda i: lpad(bin(CAST(strpos('0123456789abcdef', substr(h, i + 1, 1)) - 1 AS BIGINT)), 4, '0')), '') AS b FROM ranked
+)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(list_sum(list_transform(range(5), lambda j: CAST(substr(b, 5 * i + j + 1, 1) AS INTEGER) * CAST(pow(2, 4 - j) AS INTEGER))) AS BIGINT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN head END AS refers_to
+FROM bits
+"""
+
 _OP10_SQL = r"""
 WITH split AS (
   SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -84,4 +110,4 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM part
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2_SQL, "op10_url_filter": _OP10_SQL}
+    return {"op2_decontaminate": _OP2_SQL, "op7_warc": _OP7_SQL, "op10_url_filter": _OP10_SQL}
