@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, html_extract, quality, toxicity, url_filter, warc
+from tablekit.llm import bpe, decontaminate, html_extract, near_dup, quality, toxicity, url_filter, warc
 from tablekit.llm.common import table
 
 #: The rules of op10: (action, host, path).
@@ -26,6 +26,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "representative")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,7 +62,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op4_toxicity, op5_bpe, op6_html_extract, op7_warc, op8_quality, op10_url_filter)}
+    return {f.__name__: f for f in (op2_decontaminate, op3_near_dup, op4_toxicity, op5_bpe, op6_html_extract, op7_warc, op8_quality, op10_url_filter)}
 
 
 _OP2_SQL = r"""
