@@ -9,8 +9,8 @@ fixed; the same weights serve for sampling and for verifying.  Improved consiste
 weighted sampling draws `hashes` samples a text, two texts agreeing in each
 with the probability of their weighted Jaccard similarity; `rows` samples make
 a band.  Texts that share a band are compared through centres: in round r each
-bucket's 2**(r-1) smallest digests meet its other texts, whatever is verified
-leaves the bucket, and the rest goes on until no bucket has two texts that
+bucket's 2**(r-1) texts that share bands with most others meet its other texts,
+whatever is verified leaves the bucket, and the rest goes on until no bucket has two texts that
 haven't met.  No pair of a bucket is dropped, and a bucket of copies costs one
 comparison a text.  Verified links make classes by their connected components.
 
@@ -223,8 +223,10 @@ def _links(texts: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(idf)
     placed = texts.select("digest", F.posexplode("bands").alias("band", "h"))
-    shared = placed.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1").select("band", "h")
-    members = written(placed.join(shared, ["band", "h"]), "members")
+    shared = placed.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
+    met = written(placed.join(shared, ["band", "h"]), "met")
+    # the text that others are copies of meets more of them than a copy does
+    members = written(met.join(met.groupBy("digest").agg(F.sum("n").alias("weight")), "digest").select("band", "h", "digest", "weight"), "members")
     wanted = members.select("digest").distinct().join(texts.select("digest", "id"), "digest")
     few = wanted.count() <= BROADCAST_ROWS
     source = docs.select(text_digest(F.col("text")).alias("digest"), F.col("id"), "text")
@@ -233,9 +235,9 @@ def _links(texts: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float
     held = written(held.select("digest", "text").dropDuplicates(["digest"]), "texts")
     links, centres = None, 1
     while True:
-        order = Window.partitionBy("band", "h").orderBy(F.col("digest") if centres % 2 else F.col("digest").desc())
-        chosen = members.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= centres).select("band", "h", F.col("digest").alias("b"))
-        pairs = members.withColumnRenamed("digest", "a").join(chosen, ["band", "h"]).filter("a <> b")
+        order = Window.partitionBy("band", "h").orderBy(F.col("weight").desc(), "digest")
+        chosen = members.select("band", "h", "digest", "weight").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= centres).select("band", "h", F.col("digest").alias("b"))
+        pairs = members.select("band", "h", F.col("digest").alias("a")).join(chosen, ["band", "h"]).filter("a <> b")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = written(_verified(pairs, held, sent, similarity, k), "links")
         links = found if links is None else links.unionByName(found)
