@@ -206,3 +206,11 @@ def _by_join(source: DataFrame, items: DataFrame, span: int, k: int) -> DataFram
 def count_of(text_col: str):
     """The number of words of a text."""
     return F.regexp_count(F.translate(text_col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+
+
+def keep(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs without a hit, whole, with all their columns."""
+    names = {f"c{i}": c for i, c in enumerate(docs.columns)}
+    packed = docs.select(F.struct(*[F.col(c).alias(k) for k, c in names.items()]).alias("row"), F.col(text_col).alias("text"))
+    found = decontaminate(packed, benchmark, "row", "text", **options).filter("n_hit = 0")
+    return found.select(*[F.col(f"row.{k}").alias(c) for k, c in names.items()])

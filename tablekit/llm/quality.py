@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import BROADCAST_ROWS, written
+from tablekit.llm.common import BROADCAST_ROWS, text_digest, written
 
 BUCKETS = 1 << 18
 PRIOR = 16.0
@@ -118,18 +118,37 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
     return both.select("bucket", ratio.alias("ratio"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
-    """id, the base counts, base_failed, score and kept of every document.
+def score(docs: DataFrame, ratios: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """id, the base counts, base_failed, kept and score of every row, under a table of ratios.
 
-    The table of ratios has at most `buckets` rows, which bounds the broadcast
-    (16 bytes a row).  A document's n-grams meet it within the document's task;
-    only one partial sum a document is shuffled.
+    The table has a row a bucket at most, which bounds the broadcast (16 bytes a
+    row).  A document's n-grams meet it within the document's task; only one
+    partial sum a document is shuffled.
     """
-    ratios = ratio_table(docs, trusted, id_col, text_col, buckets, prior)
+    buckets = F.broadcast(ratios)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     counted = base_rules(docs, id_col, text_col).withColumn("__row", F.monotonically_increasing_id())
-    grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(buckets)).alias("bucket"))
-    met = grams.join(F.broadcast(ratios), "bucket", "left")
+    grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(BUCKETS)).alias("bucket"))
+    met = grams.join(buckets, "bucket", "left")
     scored = met.groupBy("__row", "__id", *base).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.select(F.col("__id").alias(id_col), *base, failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
+
+
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+    """The scores of all documents under the ratios of these same documents."""
+    return score(docs, ratio_table(docs, trusted, id_col, text_col, BUCKETS, prior), id_col, text_col, threshold)
+
+
+def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are kept, whole, with all their columns.
+
+    A verdict is that of a text, so that rows are told apart by their texts'
+    digests; those rejected are broadcast only if they are counted to be few.
+    """
+    ratios = ratio_table(docs, trusted, id_col, text_col, BUCKETS, prior)
+    judged = score(docs.select(text_digest(F.col(text_col)).alias("__own"), F.col(text_col).alias("__text")), ratios, "__own", "__text", threshold)
+    rejected = written(judged.filter("not kept and __own is not null").select(F.col("__own").alias("__rejected")).distinct(), "rejected")
+    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
+    marked = docs.filter(F.col(text_col).isNotNull()).withColumn("__own", text_digest(F.col(text_col)))
+    return marked.join(rejected, F.col("__own") == F.col("__rejected"), "left_anti").drop("__own")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablekit.llm import bpe, decontaminate, html_extract, near_dup, quality, toxicity, url_filter, warc
+from tablekit.llm import bpe, decontaminate, html_extract, near_dup, quality, secrets, substring_dup, toxicity, url_filter, warc
 from tablekit.llm.common import table
 
 #: The rules of op10: (action, host, path).
@@ -20,6 +20,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("candidate", 256).alias("candidate_sha256"), "score", "secret")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -57,12 +62,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").filter("quality = 1"))
 
 
+def op9_substring_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dup.duplicate_passages(table(spark, sf_dir, "documents")).withColumnRenamed("partner_id", "partner_doc_id")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontaminate, op3_near_dup, op4_toxicity, op5_bpe, op6_html_extract, op7_warc, op8_quality, op10_url_filter)}
+    return {f.__name__: f for f in (op1_secrets, op2_decontaminate, op3_near_dup, op4_toxicity, op5_bpe, op6_html_extract, op7_warc, op8_quality, op9_substring_dup, op10_url_filter)}
 
 
 _OP2_SQL = r"""
