@@ -1,8 +1,56 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
 
-STAGES: list = []
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablekit.llm import bpe, decontaminate, near_dup, quality, secrets
+from tablekit.llm.common import scratch, table
+from tablekit.llm.queries import tokenizer_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the likelihood ratio reject go."""
+    return quality.keep(docs, table(spark, sf_dir, "labels").filter("quality = 1")).select(COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document of the least id stays."""
+    return near_dup.deduplicate(docs).select(COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window of ten words, or a whole shorter item, with the benchmark go."""
+    return decontaminate.keep(docs, table(spark, sf_dir, "benchmark")).select(COLUMNS)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; every document stays."""
+    return secrets.redact(docs.select(COLUMNS)).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text, with what they decode to."""
+    vocabulary = bpe.read_vocabulary(tokenizer_path())
+    found = bpe.encode(docs, vocabulary, bpe.compile_lexicon(docs, vocabulary), decoded=True)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality", quality_rules), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secret_scan), ("bpe", tokens)]
+
+#: SQL can't express the hashed ratio, the samples, the forest or the merges.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
