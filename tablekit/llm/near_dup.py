@@ -11,8 +11,9 @@ with the probability of their weighted Jaccard similarity; `rows` samples make
 a band.  Texts that share a band are compared through centres: in round r each
 bucket's 2**(r-1) texts that share bands with most others meet its other texts,
 whatever is verified leaves the bucket, and the rest goes on until no bucket has two texts that
-haven't met.  No pair of a bucket is dropped, and a bucket of copies costs one
-comparison a text.  Verified links make classes by their connected components.
+haven't met.  A text that has
+left isn't compared to the bucket's others, so that a link of its own may be
+known only through the centre.  A bucket of copies costs one comparison a text.  Verified links make classes by their connected components.
 
 Exact copies are one text throughout.  Each document gets the smallest id of
 its class.  Edge cases: a null text is a class of its own; a text without words
