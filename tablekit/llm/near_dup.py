@@ -8,12 +8,16 @@ df is counted over all documents in a count-min sketch, so that its size is
 fixed; the same weights serve for sampling and for verifying.  Improved consistent
 weighted sampling draws `hashes` samples a text, two texts agreeing in each
 with the probability of their weighted Jaccard similarity; `rows` samples make
-a band.  Texts that share a band are compared through centres: in round r each
-bucket's 2**(r-1) texts that share bands with most others meet its other texts,
-whatever is verified leaves the bucket, and the rest goes on until no bucket has two texts that
-haven't met.  A text that has
-left isn't compared to the bucket's others, so that a link of its own may be
-known only through the centre.  A bucket of copies costs one comparison a text.  Verified links make classes by their connected components.
+a band.
+
+Texts that share a band with another are weighed: what weight of a text lies in
+shingles that none of these other texts has bounds its similarity to any of
+them, and so rules out most pairs without reading them.  Of each bucket, the
+text with the least such weight is the centre, which meets all others; what
+isn't linked to the centre meets all of the bucket that the bound allows.  Only
+pairs that the bound excludes, or that are linked through a centre of a bucket
+they share, don't meet, so that each class is whole.  A bucket of copies costs
+one comparison a text.  Verified links make classes by their connected components.
 
 Exact copies are one text throughout.  Each document gets the smallest id of
 its class.  Edge cases: a null text is a class of its own; a text without words
@@ -28,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablekit.llm.common import BROADCAST_ROWS, Words, buffers, mix64, multipliers, pieces, shingles, text_digest, written
@@ -41,6 +45,8 @@ ROWS = 3
 SKETCH_ROWS = 2
 SKETCH_CELLS = 1 << 20
 _CHUNK = 1 << 14
+#: Against rounding, pairs are ruled out only this far below the similarity asked for.
+_SLACK = 1e-6
 _LEVELS = 1 << 16
 
 
@@ -195,64 +201,108 @@ def signatures(docs: DataFrame, idf: np.ndarray, id_col: str = "doc_id", text_co
     return source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, digest binary, bands array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf, similarity: float, k: int) -> DataFrame:
-    """The pairs (a, b) of digests whose texts are similar, with their weighted Jaccard similarity."""
-    left = texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+def _weighed(texts: DataFrame, idf, k: int) -> DataFrame:
+    """digest, values and weights (shingles in ascending order, packed) and total weight of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                left, right = (Shingled(*buffers(some.column(c)), idf.value, k) for c in (2, 3))
-                wl, wr = left.weights.astype(float), right.weights.astype(float)
-                for i in range(some.num_rows):
-                    x, y = slice(*left.first[i : i + 2]), slice(*right.first[i : i + 2])
-                    _, p, q = np.intersect1d(left.values[x], right.values[y], assume_unique=True, return_indices=True)
-                    shared = float(np.minimum(wl[x][p], wr[y][q]).sum())
-                    both = float(wl[x].sum() + wr[y].sum()) - shared
-                    out.append(shared / both if both else 0.0)
+            data, offs = buffers(batch.column(1))
+            for a, b in pieces(offs, 1 << 19):
+                found = Shingled(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a], idf.value, k)
+                at = found.first.tolist()
+                cut = list(zip(at[:-1], at[1:]))
+                values, weights = found.values.astype("<u8"), found.weights.astype("<f4")
+                packed = [pa.array([x[i:j].tobytes() for i, j in cut], pa.binary()) for x in (values, weights)]
+                total = pa.array([float(found.weights[i:j].sum(dtype=np.float64)) for i, j in cut], pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *packed, total], ["digest", "values", "weights", "total"])
+
+    return texts.select("digest", "text").mapInArrow(run, "digest binary, values binary, weights binary, total double")
+
+
+def _own_weight(held: DataFrame) -> DataFrame:
+    """node and the weight of its shingles that no other node has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                values = [np.frombuffer(x, "<i8") for x in some.column(1).to_pylist()]
+                weights = np.concatenate([np.frombuffer(x, "<f4") for x in some.column(2).to_pylist()])
+                node = np.repeat(nodes[at : at + 256], [len(x) for x in values])
+                yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(np.concatenate(values), pa.int64()), pa.array(weights.astype(float), pa.float64())], ["node", "v", "w"])
+
+    each = held.select("node", "values", "weights").mapInArrow(run, "node long, v long, w double")
+    alone = each.groupBy("v").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("w").alias("w")).filter("n = 1")
+    return alone.groupBy("node").agg(F.sum("w").alias("own"))
+
+
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar, with their weighted Jaccard similarity."""
+    left, right = (held.select(F.col("node").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("values", "weights", "total"))) for n in "ab")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "values_a", "weights_a", "total_a", "values_b", "weights_b", "total_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros(batch.num_rows)
+            packed = [batch.column(c) for c in (2, 3, 5, 6)]
+            total = batch.column(4).to_numpy() + batch.column(7).to_numpy()
+            for i in range(batch.num_rows):
+                x, wx, y, wy = (np.frombuffer(column[i].as_buffer(), kind) for column, kind in zip(packed, ("<u8", "<f4", "<u8", "<f4")))
+                if not len(x) or not len(y):
+                    continue
+                at = np.searchsorted(y, x)
+                at[at == len(y)] = 0
+                same = y[at] == x
+                shared = float(np.minimum(wx[same], wy[at[same]]).sum(dtype=np.float64))
+                out[i] = shared / (total[i] - shared)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
-    return met.mapInArrow(run, "a binary, b binary, similarity double").filter(F.col("similarity") >= similarity)
+    return met.mapInArrow(run, "a long, b long, similarity double").filter(F.col("similarity") >= similarity)
+
 
+def _may_link(a: str, b: str, similarity: float) -> Column:
+    """Whether the weight that others have too lets a and b be similar enough."""
+    most = F.least(f"{a}.others", f"{b}.others")
+    return most >= (similarity - _SLACK) * (F.col(f"{a}.total") + F.col(f"{b}.total") - most)
 
-def _links(texts: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float, k: int) -> DataFrame | None:
-    """Verified links (a, b) between digests; texts has digest, bands and id."""
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(idf)
+
+def _links(texts: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float, k: int) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between nodes, and the nodes with their digests; texts has digest, bands and id."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf)
     placed = texts.select("digest", F.posexplode("bands").alias("band", "h"))
     shared = placed.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
     met = written(placed.join(shared, ["band", "h"]), "met")
-    # the text that others are copies of meets more of them than a copy does
-    members = written(met.join(met.groupBy("digest").agg(F.sum("n").alias("weight")), "digest").select("band", "h", "digest", "weight"), "members")
-    wanted = members.select("digest").distinct().join(texts.select("digest", "id"), "digest")
-    few = wanted.count() <= BROADCAST_ROWS
+    wanted = written(met.groupBy("digest").agg(F.sum("n").alias("weight")).join(texts.select("digest", "bands", F.col("id").alias("first_id")), "digest"), "wanted")
+    few = wanted.select("digest", "first_id")
+    few = F.broadcast(few) if wanted.count() <= BROADCAST_ROWS else few
     source = docs.select(text_digest(F.col("text")).alias("digest"), F.col("id"), "text")
-    wanted = F.broadcast(wanted) if few else wanted
-    held = source.join(wanted.withColumnRenamed("id", "first_id"), "digest").filter(F.col("id").eqNullSafe(F.col("first_id")))
-    held = written(held.select("digest", "text").dropDuplicates(["digest"]), "texts")
-    links, centres = None, 1
-    while True:
-        order = Window.partitionBy("band", "h").orderBy(F.col("weight").desc(), "digest")
-        chosen = members.select("band", "h", "digest", "weight").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= centres).select("band", "h", F.col("digest").alias("b"))
-        pairs = members.select("band", "h", F.col("digest").alias("a")).join(chosen, ["band", "h"]).filter("a <> b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(_verified(pairs, held, sent, similarity, k), "links")
-        links = found if links is None else links.unionByName(found)
-        # what is linked to a centre of its bucket leaves it, and so do the centres
-        marked = chosen.withColumnRenamed("b", "centre")
-        both = found.select("a", "b").unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        gone = members.join(marked, ["band", "h"]).join(both.withColumnRenamed("a", "digest").withColumnRenamed("b", "centre"), ["digest", "centre"], "left_semi").select("band", "h", "digest")
-        gone = gone.unionByName(marked.withColumnRenamed("centre", "digest")).distinct()
-        left = members.join(gone, ["band", "h", "digest"], "left_anti")
-        again = left.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1").select("band", "h")
-        members = written(left.join(again, ["band", "h"]), "members")
-        if members.isEmpty():
-            return links
-        centres *= 2
+    source = source.join(few, "digest").filter(F.col("id").eqNullSafe(F.col("first_id"))).select("digest", "text").dropDuplicates(["digest"])
+    held = written(_weighed(source, sent, k).withColumn("node", F.monotonically_increasing_id()), "held")
+
+    # a text whose own shingles weigh too much is similar to no other
+    nodes = held.select("node", "digest", "total").join(_own_weight(held), "node", "left").withColumn("others", F.col("total") - F.coalesce("own", F.lit(0.0)))
+    nodes = nodes.filter(F.col("others") >= (similarity - _SLACK) * F.col("total")).join(wanted.select("digest", "weight", "bands"), "digest")
+    nodes = written(nodes.select("node", "digest", "total", "others", "weight", "bands"), "nodes")
+    members = written(met.select("band", "h", "digest").join(nodes, "digest").drop("digest"), "members")
+
+    # the text with least of its own is nearest to what the others are copies of
+    first = F.min(F.struct((-F.col("others") / F.col("total")).alias("r"), (-F.col("weight")).alias("w"), "node", "total", "others"))
+    centres = members.groupBy("band", "h").agg(first.alias("c"), F.count("*").alias("n")).filter("n > 1").select("band", "h", "c.node", "c.total", "c.others")
+    by_centre = members.alias("m").join(centres.alias("c"), ["band", "h"])
+    pairs = by_centre.filter(F.col("m.node") != F.col("c.node")).filter(_may_link("m", "c", similarity))
+    links = written(_verified(pairs.select(F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b")).distinct(), held, similarity), "links")
+
+    # what isn't linked to the centre of a bucket meets all of the bucket
+    state = by_centre.select("band", "h", "m.node", "m.total", "m.others", "m.bands", F.col("c.node").alias("centre"), F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b"))
+    state = state.filter("node <> centre").join(links.select("a", "b", F.lit(True).alias("linked")), ["a", "b"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))).drop("a", "b", "centre")
+    state = written(state, "state")
+    again = (F.col("x.node") != F.col("y.node")) & (F.col("y.linked") | (F.col("x.node") < F.col("y.node"))) & _may_link("x", "y", similarity)
+    # a pair meets in the first band it shares
+    x, y = state.filter("not linked").alias("x"), state.alias("y")
+    both = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.h") == F.col("y.h")) & again & ~F.expr("exists(sequence(0, x.band), i -> i < x.band AND x.bands[i] = y.bands[i])"))
+    pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return links.unionByName(written(_verified(pairs, held, similarity), "links")), nodes.select("node", "digest")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -280,11 +330,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = written(signatures(source, idf, "id", "text", bands, rows, k), "signed")
     texts = written(signed.filter("digest is not null").groupBy("digest").agg(F.first("bands").alias("bands"), F.min("id").alias("id")), "nodes")
-    roots = components(_links(texts, source, idf, similarity, k))
-    classed = texts.select("digest", "id").join(roots.withColumnRenamed("node", "digest"), "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    links, nodes = _links(texts, source, idf, similarity, k)
+    linked = components(links).join(nodes, "node").join(texts.select("digest", "id"), "digest")
     least = F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("digest").alias("d")))
-    heads = classed.groupBy("root").agg(least.alias("head"))
-    classes = classed.join(heads, "root").select("digest", F.col("head.i").alias("class_id"), F.col("head.d").alias("head"))
+    classes = linked.join(linked.groupBy("root").agg(least.alias("head")), "root").select("digest", "head")
+    alone = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("digest").alias("d"))
+    classes = texts.select("digest", "id").join(classes, "digest", "left").withColumn("head", F.coalesce("head", alone))
+    classes = classes.select("digest", F.col("head.i").alias("class_id"), F.col("head.d").alias("head"))
     found = signed.select("id", "digest").join(classes, "digest", "left")
     mine = F.col("digest").isNull() | (F.col("digest") == F.col("head")) & F.col("id").eqNullSafe(F.col("class_id"))
     return found.select(F.col("id").alias(id_col), F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), mine.alias("representative"), "digest")

@@ -155,6 +155,34 @@ def test_near_duplicates(spark, edge):
     assert near_dup.near_duplicates(edge.limit(0)).count() == 0
 
 
+def test_near_duplicates_are_the_components_of_all_links(spark):
+    from tablekit.llm.common import buffers
+
+    base, rng = rand_words(150, 5), np.random.default_rng(3)
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.choice(150, rng.integers(1, 7), replace=False):
+            words[at] = f"w{i}x{at}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    s = near_dup.Shingled(*buffers(pa.array(texts)), near_dup.frequencies(df))
+    bags = [dict(zip(s.values[a:b].tolist(), s.weights[a:b].tolist())) for a, b in zip(s.first[:-1], s.first[1:])]
+    want = list(range(len(texts)))
+    links = 0
+    for i, x in enumerate(bags):
+        for j in range(i):
+            y = bags[j]
+            shared = sum(min(w, y[v]) for v, w in x.items() if v in y)
+            if shared / (sum(x.values()) + sum(y.values()) - shared) >= near_dup.SIMILARITY:
+                links += 1
+                a, b = sorted((want[i], want[j]))
+                want = [a if r == b else r for r in want]
+    assert links > 100 and len(set(want)) > 5
+    assert got == dict(enumerate(want))
+
+
 def test_samples_agree_as_similarity():
     a, b = rand_words(600, 1), rand_words(600, 1)
     b[300:330] = rand_words(30, 9)
