@@ -245,3 +245,17 @@ def test_toxicity(spark, edge):
     found = toxicity.score(edge, marks).collect()
     assert len(found) == len(EDGE) and all(r["score"] == 0.0 for r in found)  # no labelled text is toxic here
     assert toxicity.score(edge.limit(0), marks).count() == 0
+
+
+def test_exact_passages_within_dissimilar_texts(spark):
+    """Stretches that differ every few words hide no exact repeat: held against brute force over runs of 50 words."""
+    rows = []
+    for i in range(12):
+        shared, noisy = rand_words(55 + i, 700 + i), rand_words(150, 800 + i)
+        changed = [w if k % 9 else f"x{i}q{k}" for k, w in enumerate(noisy)]
+        rows += [(2 * i, " ".join(noisy + shared)), (2 * i + 1, " ".join(changed + shared))]
+    rows += [(90, " ".join(rand_words(200, 990))), (91, None), (92, "")]
+    grams = {d: {tuple(t.split()[k : k + 50]) for k in range(len(t.split()) - 49)} for d, t in rows if t}
+    wanted = {a for a in grams if any(grams[a] & grams[b] for b in grams if a != b)}
+    got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"] for r in got.collect()} == wanted
