@@ -259,3 +259,13 @@ def test_exact_passages_within_dissimilar_texts(spark):
     wanted = {a for a in grams if any(grams[a] & grams[b] for b in grams if a != b)}
     got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"] for r in got.collect()} == wanted
+
+
+def test_passages_of_many_groups_behind_one_frequent_text(spark):
+    """A text of less than 50 words that all have gives one key to many groups, each of which has its own longer passage."""
+    rows = []
+    for g in range(64):
+        shared = rand_words(46, 40 + g % 8) + rand_words(4, 5000 + g)
+        rows += [(10 * g + i, " ".join(rand_words(40, 6000 + 10 * g + i) + shared + rand_words(40, 7000 + 10 * g + i))) for i in range(2)]
+    got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {d for d, _ in rows} == {r["doc_id"] for r in got if (r["start"], r["end"]) == (40, 90)}
