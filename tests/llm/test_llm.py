@@ -269,3 +269,29 @@ def test_passages_of_many_groups_behind_one_frequent_text(spark):
         rows += [(10 * g + i, " ".join(rand_words(40, 6000 + 10 * g + i) + shared + rand_words(40, 7000 + 10 * g + i))) for i in range(2)]
     got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {d for d, _ in rows} == {r["doc_id"] for r in got if (r["start"], r["end"]) == (40, 90)}
+
+
+def test_near_passages_within_dissimilar_stretches():
+    """Near passages next to words that differ every few words: held against brute force over ranges of 50 to 64 words."""
+    near = lambda x, y: len(x & y) / len(x | y) >= 0.8
+    for i in range(12):
+        rng = np.random.default_rng(i)
+        noise, passage = rand_words(120, 900 + i), rand_words(64, 950 + i)
+        other = list(passage)
+        if i % 3 == 0:
+            other[32] = "changed"
+        elif i % 3 == 1:
+            other.insert(32, "inserted")
+        else:
+            del other[32]
+        worse = [w if k % 8 else f"x{i}q{k}" for k, w in enumerate(noise)]
+        a, b = noise[:60] + passage + noise[60:], worse[:60] + other + worse[60:]
+        if i >= 9:  # moved
+            b = worse[60:] + other + worse[:60]
+        number = {g: int(v) for g, v in zip(sorted({tuple(t[k : k + 5]) for t in (a, b) for k in range(len(t) - 4)}), rng.integers(1, 1 << 60, 500))}
+        x, y = (np.array([number[tuple(t[k : k + 5])] for k in range(len(t) - 4)], np.uint64) for t in (a, b))
+        sets = lambda v, n: [(s, set(v[s : s + n].tolist())) for s in range(len(v) - n + 1)]
+        wanted = {s for n in (46, 53, 60) for s, p in sets(x, n) for _, q in sets(y, n) if len(p & q) > 36 and near(p, q)}
+        got = substring_dup.passages(x, y, 50, 0.8)
+        assert wanted and got and all(near(set(x[s : e - 4].tolist()), set(y[u : v - 4].tolist())) for s, e, u, v, _ in got)
+        assert any(s <= 60 + 4 and e >= 60 + 60 for s, e, *_ in got)
