@@ -9,7 +9,10 @@ n-grams of log(target / raw) is compared to a fixed threshold, so that every
 document gets the same verdict on every run.
 
 The raw multinomial is the prior of the target one (`prior` pseudo-counts a
-bucket), so that n-grams too rare to tell anything have a ratio of one.
+bucket), so that n-grams too rare to tell anything have a ratio of one.  The
+number of buckets grows with the corpus' characters, so that a bucket holds about
+as many distinct n-grams, and the prior weighs as much, at any size.  Ratios too
+many to broadcast meet the n-grams by a shuffle.
 
 Edge cases: null and empty texts and texts of white space have no words; their
 score is 0 and they fail the base rules.  Repeated rows are judged alike and
@@ -25,6 +28,8 @@ from pyspark.sql import functions as F
 from tablekit.llm.common import BROADCAST_ROWS, text_digest, written
 
 BUCKETS = 1 << 18
+#: At most so many characters of the corpus a bucket, beyond the least number of buckets: about ten distinct 2-grams.
+BUCKET_CHARS = 100
 PRIOR = 16.0
 THRESHOLD = -0.25
 MIN_WORDS = 20
@@ -57,7 +62,7 @@ def _hashed(words: DataFrame) -> DataFrame:
 
 def _gram_buckets(buckets: int) -> Column:
     """Buckets of all 1-grams, then of all 2-grams."""
-    return F.transform(F.concat("__h1", "__h2"), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+    return F.transform(F.concat("__h1", "__h2"), lambda h: F.pmod(h, F.lit(buckets)).cast("int" if buckets <= 1 << 30 else "long"))
 
 
 def _repeated_words(keyed: Column, window: int) -> Column:
@@ -94,6 +99,12 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return kept.select("__id", "__h1", "__h2", *base, repeated.cast("long").alias("n_repeat_words"))
 
 
+def bucket_count(docs: DataFrame, text_col: str = "text", chars: int = BUCKET_CHARS, least: int = BUCKETS) -> int:
+    """The least power of two of buckets, `least` at least, with at most `chars` characters of the corpus each."""
+    total = docs.agg(F.sum(F.length(text_col)).alias("n")).first()["n"] or 0
+    return max(least, 1 << (-(-total // chars) - 1).bit_length()) if total else least
+
+
 def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
     """bucket and log ratio of every bucket that occurs, counted over every document.
 
@@ -118,26 +129,35 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
     return both.select("bucket", ratio.alias("ratio"))
 
 
-def score(docs: DataFrame, ratios: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """id, the base counts, base_failed, kept and score of every row, under a table of ratios.
+def score(docs: DataFrame, ratios: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """id, the base counts, base_failed, kept and score of every row, under a table of ratios over `buckets` buckets.
 
-    The table has a row a bucket at most, which bounds the broadcast (16 bytes a
-    row).  A document's n-grams meet it within the document's task; only one
-    partial sum a document is shuffled.
+    A table of up to `broadcast_rows` buckets is broadcast (16 bytes a row): a
+    document's n-grams meet it within the document's task, and only one partial
+    sum a document is shuffled.  Beyond, the n-grams are shuffled to the table,
+    each with the digest of its text, whose copies have the same mean.
     """
-    buckets = F.broadcast(ratios)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    counted = base_rules(docs, id_col, text_col).withColumn("__row", F.monotonically_increasing_id())
-    grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(BUCKETS)).alias("bucket"))
-    met = grams.join(buckets, "bucket", "left")
-    scored = met.groupBy("__row", "__id", *base).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
+    if buckets <= broadcast_rows:
+        counted = base_rules(docs, id_col, text_col).withColumn("__row", F.monotonically_increasing_id())
+        grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(buckets)).alias("bucket"))
+        met = grams.join(F.broadcast(ratios), "bucket", "left")
+        scored = met.groupBy("__row", "__id", *base).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
+    else:
+        own = docs.select(F.struct(F.col(id_col).alias("id"), text_digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest")).alias("__own"), F.col(text_col).alias("__text"))
+        counted = base_rules(own, "__own", "__text").select(F.col("__id.id").alias("__id"), F.col("__id.digest").alias("__digest"), *base)
+        words = own.select(F.col("__own.digest").alias("__digest"), words_of(F.col("__text")).alias("__words"))
+        grams = _hashed(words).select("__digest", F.explode(_gram_buckets(buckets)).alias("bucket"))
+        means = grams.join(ratios.hint("merge"), "bucket").groupBy("__digest").agg(F.avg("ratio").alias("mean"))
+        scored = counted.join(means, "__digest", "left").select("__id", *base, F.coalesce("mean", F.lit(0.0)).alias("score"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return scored.select(F.col("__id").alias(id_col), *base, failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
 
 
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
     """The scores of all documents under the ratios of these same documents."""
-    return score(docs, ratio_table(docs, trusted, id_col, text_col, BUCKETS, prior), id_col, text_col, threshold)
+    buckets = bucket_count(docs, text_col)
+    return score(docs, ratio_table(docs, trusted, id_col, text_col, buckets, prior), id_col, text_col, threshold, buckets)
 
 
 def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
@@ -146,8 +166,9 @@ def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     A verdict is that of a text, so that rows are told apart by their texts'
     digests; those rejected are broadcast only if they are counted to be few.
     """
-    ratios = ratio_table(docs, trusted, id_col, text_col, BUCKETS, prior)
-    judged = score(docs.select(text_digest(F.col(text_col)).alias("__own"), F.col(text_col).alias("__text")), ratios, "__own", "__text", threshold)
+    buckets = bucket_count(docs, text_col)
+    ratios = ratio_table(docs, trusted, id_col, text_col, buckets, prior)
+    judged = score(docs.select(text_digest(F.col(text_col)).alias("__own"), F.col(text_col).alias("__text")), ratios, "__own", "__text", threshold, buckets)
     rejected = written(judged.filter("not kept and __own is not null").select(F.col("__own").alias("__rejected")).distinct(), "rejected")
     rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
     marked = docs.filter(F.col(text_col).isNotNull()).withColumn("__own", text_digest(F.col(text_col)))

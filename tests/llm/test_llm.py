@@ -295,3 +295,13 @@ def test_near_passages_within_dissimilar_stretches():
         got = substring_dup.passages(x, y, 50, 0.8)
         assert wanted and got and all(near(set(x[s : e - 4].tolist()), set(y[u : v - 4].tolist())) for s, e, u, v, _ in got)
         assert any(s <= 60 + 4 and e >= 60 + 60 for s, e, *_ in got)
+
+
+def test_quality_buckets_grow_with_the_corpus(spark, edge):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 400000)").alias("text"))
+    assert quality.bucket_count(docs) == 1 << 20 and quality.bucket_count(docs.limit(0)) == quality.bucket_count(edge) == 1 << 18
+    rows = [(i, " ".join(rand_words(60, i % 7))) for i in range(40)] + EDGE
+    df, trusted = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in range(0, 40, 2)], "doc_id long")
+    ratios = quality.ratio_table(df, trusted, "doc_id", "text", 1 << 20)
+    found = [sorted((str(r["doc_id"]), r["n_words"], r["kept"], round(r["score"], 9)) for r in quality.score(df, ratios, buckets=1 << 20, broadcast_rows=n).collect()) for n in (1 << 20, 0)]
+    assert len(found[0]) == len(rows) and found[0] == found[1]
