@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Labelled ids are broadcast up to this many rows (16 bytes each: 32 MB); beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Tables of ids and the like are broadcast up to this many bytes; beyond it the join shuffles.
+BROADCAST_BYTES = 64 << 20
 #: Texts are worked on in pieces of about this many bytes, or one whole text if that is longer.
 PIECE_BYTES = 1 << 20
 
@@ -49,6 +49,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, to be broadcast if its rows, of `row_bytes` in memory each, are counted to fit `most` bytes."""
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
 def text_digest(text: Column) -> Column:
     """128 bits of SHA-256: the identity of a text."""
     return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)

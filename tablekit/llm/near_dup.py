@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import BROADCAST_ROWS, Words, buffers, mix64, multipliers, pieces, shingles, text_digest, written
+from tablekit.llm.common import Words, broadcast_if_small, buffers, mix64, multipliers, pieces, shingles, text_digest, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -275,7 +275,7 @@ def _links(texts: DataFrame, docs: DataFrame, idf: np.ndarray, similarity: float
     met = written(placed.join(shared, ["band", "h"]), "met")
     wanted = written(met.groupBy("digest").agg(F.sum("n").alias("weight")).join(texts.select("digest", "bands", F.col("id").alias("first_id")), "digest"), "wanted")
     few = wanted.select("digest", "first_id")
-    few = F.broadcast(few) if wanted.count() <= BROADCAST_ROWS else few
+    few = broadcast_if_small(few, 96)
     source = docs.select(text_digest(F.col("text")).alias("digest"), F.col("id"), "text")
     source = source.join(few, "digest").filter(F.col("id").eqNullSafe(F.col("first_id"))).select("digest", "text").dropDuplicates(["digest"])
     held = written(_weighed(source, sent, k).withColumn("node", F.monotonically_increasing_id()), "held")

@@ -6,13 +6,19 @@ windows make up too much.  Of the others, the verdict is that of two
 multinomials over hash buckets of 1-grams and 2-grams, one counted over the
 trusted documents and one over the whole corpus: the mean over a document's
 n-grams of log(target / raw) is compared to a fixed threshold, so that every
-document gets the same verdict on every run.
+document gets the same verdict on every run.  Ratios are rounded to 1 / `STEPS`,
+so that their sums are exact in any order.
 
 The raw multinomial is the prior of the target one (`prior` pseudo-counts a
 bucket), so that n-grams too rare to tell anything have a ratio of one.  The
-number of buckets grows with the corpus' characters, so that a bucket holds about
-as many distinct n-grams, and the prior weighs as much, at any size.  Ratios too
-many to broadcast meet the n-grams by a shuffle.
+number of buckets grows in proportion to the corpus' characters, so that a
+bucket holds about as many n-grams, and the prior weighs as much, at any size.
+
+The ratios are packed into rows of `SHARD` buckets, two bytes a bucket, and
+broadcast while they have at most `broadcast_bytes`; each document's n-grams then
+meet them within its task.  Larger tables meet the n-grams by a shuffle, but for the
+buckets of the most frequent n-grams, of which there are few at any size, so
+that no key holds many rows.  Both ways give equal results.
 
 Edge cases: null and empty texts and texts of white space have no words; their
 score is 0 and they fail the base rules.  Repeated rows are judged alike and
@@ -22,28 +28,40 @@ one everywhere.  Ids may be null.  Further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import BROADCAST_ROWS, text_digest, written
+from tablekit.llm.common import broadcast_if_small, text_digest, written
 
 BUCKETS = 1 << 18
-#: At most so many characters of the corpus a bucket, beyond the least number of buckets: about ten distinct 2-grams.
-BUCKET_CHARS = 100
+#: Characters of the corpus a bucket, beyond the least number of buckets: about forty distinct 2-grams.
+BUCKET_CHARS = 400
 PRIOR = 16.0
 THRESHOLD = -0.25
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8  # as the doublings in base_rules make it
+STEPS = 1024
+SHARD = 4096
+#: The packed ratios are broadcast up to this size.
+RATIO_BYTES = 256 << 20
+#: Of a larger table, buckets with at least this share of all n-grams are broadcast: at most its inverse of them.
+FREQUENT = 1e-5
 
 _BLANKS = " \t\n\x0b\f\r"
-_BLANK_RUN = r"[\x20\x09-\x0D]+"
+_BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _spaced(text: Column) -> Column:
+    """The text with every blank as a space."""
+    return reduce(lambda t, blank: F.replace(t, F.lit(blank), F.lit(" ")), _BLANKS[1:], F.coalesce(text, F.lit("")))
 
 
 def words_of(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    trimmed = F.btrim(text, F.lit(_BLANKS))
-    return F.when(trimmed != "", F.split(trimmed, _BLANK_RUN)).otherwise(F.array().cast("array<string>"))
+    return F.array_remove(F.split(_spaced(text), " "), "")
 
 
 def _pairs(column: str, apart: int) -> Column:
@@ -51,18 +69,17 @@ def _pairs(column: str, apart: int) -> Column:
     return F.transform(F.slice(column, apart + 1, F.greatest(F.size(column) - apart, F.lit(0))), lambda h, i: F.xxhash64(F.get(F.col(column), i), h))
 
 
-def _hashed(words: DataFrame) -> DataFrame:
-    """words with the hashes __h1 of its __words and __h2 of pairs of them.
-
-    Each array is a column of its own before a lambda looks into it: an
-    expression in its place would be evaluated for each element.
-    """
-    return words.withColumn("__h1", F.transform("__words", lambda w: F.xxhash64(w))).withColumn("__h2", _pairs("__h1", 1))
+def _grams(words: DataFrame, buckets: int, *keep: str) -> DataFrame:
+    """keep, and the buckets of each of the __words (b1) and of it with the next one (b2, null for the last); a row of nulls without words."""
+    bucket = lambda *of: F.pmod(F.xxhash64(*of), F.lit(buckets))
+    pairs = F.arrays_zip(F.col("__words").alias("x"), F.slice("__words", 2, 1 << 30).alias("y"))
+    paired = words.select(*keep, F.inline_outer(pairs))
+    return paired.select(*keep, F.when(F.col("x").isNotNull(), bucket("x")).alias("b1"), F.when(F.col("y").isNotNull(), bucket("x", "y")).alias("b2"))
 
 
-def _gram_buckets(buckets: int) -> Column:
-    """Buckets of all 1-grams, then of all 2-grams."""
-    return F.transform(F.concat("__h1", "__h2"), lambda h: F.pmod(h, F.lit(buckets)).cast("int" if buckets <= 1 << 30 else "long"))
+def _stacked(grams: DataFrame, *keep: str) -> DataFrame:
+    """keep and bucket, a row for each n-gram."""
+    return grams.select(*keep, F.inline(F.array(F.struct(F.col("b1").alias("bucket")), F.struct(F.col("b2").alias("bucket"))))).filter("bucket is not null")
 
 
 def _repeated_words(keyed: Column, window: int) -> Column:
@@ -77,90 +94,108 @@ def _repeated_words(keyed: Column, window: int) -> Column:
 
 
 def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, hashes of words and of pairs of them, and the counts of the base rules; a window is eight words."""
-    blank = F.lit(r"^[\x20\x09-\x0D]*$")
+    """__id, __words and the counts of the base rules; a window is eight words.
+
+    Each array is a column of its own before a lambda looks into it: an
+    expression in its place would be evaluated for each element.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    split = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), words_of(text).alias("__words"), F.filter(F.split(text, "\n"), lambda x: ~F.rlike(x, blank)).alias("__lines"))
-    counted = _hashed(split).select(
+    split = docs.select(F.col(id_col).alias("__id"), text.alias("__text")).withColumn("__parts", F.split(_spaced(F.col("__text")), " "))
+    split = split.withColumn("__words", F.array_remove("__parts", "")).withColumn("__lines", F.filter(F.split("__text", "\n"), lambda x: F.btrim(x, F.lit(_BLANKS)) != ""))
+    counted = split.select(
         "__id",
-        "__h1",
-        "__h2",
+        "__words",
+        F.when(F.size("__words") > WINDOW, F.transform("__words", lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")).alias("__h1"),
         F.size("__words").cast("long").alias("n_words"),
-        F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
-        (F.length("__text") - F.length(F.regexp_replace("__text", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
+        (F.length("__text") - F.size("__parts") + 1).cast("long").alias("word_chars"),  # all but the blanks between parts
+        F.regexp_count("__text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
     )
-    counted = counted.withColumn("__h4", _pairs("__h2", 2)).withColumn("__grams", _pairs("__h4", 4))
-    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
-    keyed = F.sort_array(F.transform("__grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    again = F.size(F.array_distinct("__grams")) < F.size("__grams")
-    kept = counted.select("__id", "__h1", "__h2", *base, F.when(again, keyed).alias("__keyed"))
+    # a window that occurs again makes half a window, at each of its places there, occur again
+    halves = F.size("__h4") - F.size(F.array_distinct("__h4")) > WINDOW // 2
+    counted = counted.withColumn("__h2", _pairs("__h1", 1)).withColumn("__h4", _pairs("__h2", 2)).withColumn("__windows", F.when(halves, _pairs("__h4", 4)).otherwise(F.array().cast("array<bigint>")))
+    keyed = F.sort_array(F.transform("__windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    again = F.size(F.array_distinct("__windows")) < F.size("__windows")
+    kept = counted.select("__id", "__words", *_BASE[:4], F.when(again, keyed).alias("__keyed"))
     repeated = F.when(F.col("__keyed").isNull(), F.lit(0)).otherwise(_repeated_words(F.col("__keyed"), WINDOW))
-    return kept.select("__id", "__h1", "__h2", *base, repeated.cast("long").alias("n_repeat_words"))
+    return kept.select("__id", "__words", *_BASE[:4], repeated.cast("long").alias("n_repeat_words"))
 
 
 def bucket_count(docs: DataFrame, text_col: str = "text", chars: int = BUCKET_CHARS, least: int = BUCKETS) -> int:
-    """The least power of two of buckets, `least` at least, with at most `chars` characters of the corpus each."""
+    """One bucket for every `chars` characters of the corpus, `least` at least."""
     total = docs.agg(F.sum(F.length(text_col)).alias("n")).first()["n"] or 0
-    return max(least, 1 << (-(-total // chars) - 1).bit_length()) if total else least
+    return max(least, -(-total // chars))
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
-    """bucket and log ratio of every bucket that occurs, counted over every document.
+    """bucket, raw (its n-grams in the corpus) and ratio (log ratio in units of 1 / STEPS) of every bucket that occurs, counted over every document.
 
     trusted has the ids of the trusted documents; its size decides only how it is joined.
     """
     ids = trusted.select(F.col(id_col).alias("__id"), F.lit(1).alias("__trusted")).distinct()
-    words = docs.select(F.col(id_col).alias("__id"), words_of(F.col(text_col)).alias("__words"))
-
-    def counted(some: DataFrame, flag: Column) -> DataFrame:
-        grams = _hashed(some).select(flag.alias("__trusted"), F.explode(_gram_buckets(buckets)).alias("bucket"))
-        return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__trusted").alias("target"))
-
-    if ids.count() <= BROADCAST_ROWS:
-        both = counted(words.join(F.broadcast(ids), "__id", "left"), F.col("__trusted"))
-    else:  # only the trusted documents are shuffled
-        raw, target = counted(words, F.lit(None).cast("int")), counted(words.join(ids, "__id"), F.col("__trusted"))
-        both = raw.select("bucket", "raw").join(target.select("bucket", "target"), "bucket", "left").select("bucket", "raw", F.coalesce("target", F.lit(0)).alias("target"))
-    both = written(both, "grams")
+    marked = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(broadcast_if_small(ids, 64), "__id", "left")
+    grams = _stacked(_grams(marked.select("__trusted", words_of(F.col("__text")).alias("__words")), buckets, "__trusted"), "__trusted")
+    both = written(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__trusted").alias("target")), "grams")
     sums = both.agg(F.sum("raw").alias("r"), F.sum("target").alias("t")).first()
     scale = sums["r"] / sums["t"] if sums["t"] else 0.0
     ratio = F.log((F.col("target") * scale + prior) / (F.col("raw") + prior)) if scale else F.lit(0.0)
-    return both.select("bucket", ratio.alias("ratio"))
-
-
-def score(docs: DataFrame, ratios: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """id, the base counts, base_failed, kept and score of every row, under a table of ratios over `buckets` buckets.
-
-    A table of up to `broadcast_rows` buckets is broadcast (16 bytes a row): a
-    document's n-grams meet it within the document's task, and only one partial
-    sum a document is shuffled.  Beyond, the n-grams are shuffled to the table,
-    each with the digest of its text, whose copies have the same mean.
-    """
-    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    if buckets <= broadcast_rows:
-        counted = base_rules(docs, id_col, text_col).withColumn("__row", F.monotonically_increasing_id())
-        grams = counted.select("__row", "__id", *base, F.explode_outer(_gram_buckets(buckets)).alias("bucket"))
-        met = grams.join(F.broadcast(ratios), "bucket", "left")
-        scored = met.groupBy("__row", "__id", *base).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
+    most = (1 << 15) - 1
+    return both.select("bucket", "raw", F.greatest(F.lit(-most), F.least(F.lit(most), F.round(ratio * STEPS))).cast("short").alias("ratio"))
+
+
+def _packed(ratios: DataFrame, buckets: int) -> DataFrame:
+    """shard and the ratios of its SHARD buckets, 0 where a bucket doesn't occur."""
+    every = ratios.sparkSession.range(buckets).select(F.col("id").alias("bucket")).join(ratios, "bucket", "left")
+    rows = F.array_sort(F.collect_list(F.struct((F.col("bucket") % SHARD).cast("int").alias("at"), F.coalesce("ratio", F.lit(0).cast("short")).alias("ratio"))))
+    return every.groupBy((F.col("bucket") / SHARD).cast("int").alias("shard")).agg(F.transform(rows, lambda x: x["ratio"]).alias("ratios"))
+
+
+def _sums_by_broadcast(counted: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
+    """__id, the base counts, __sum, the ratios' sum, and __n, the number of n-grams, of every row of base_rules."""
+    packed = F.broadcast(written(_packed(ratios, buckets), "ratios"))
+    grams = _grams(counted.withColumn("__row", F.monotonically_increasing_id()), buckets, "__row", "__id", *_BASE)
+    value = F.lit(0).cast("long")
+    for b in ("b1", "b2"):
+        grams = grams.withColumn("__shard", (F.col(b) / SHARD).cast("int")).join(packed.select(F.col("shard").alias("__shard"), F.col("ratios").alias(f"__{b}")), "__shard", "left").drop("__shard")
+        value = value + F.coalesce(F.get(F.col(f"__{b}"), (F.col(b) % SHARD).cast("int")), F.lit(0))
+    summed = grams.groupBy("__row", "__id").agg(*(F.max(c).alias(c) for c in _BASE), F.sum(value).alias("__sum"))
+    return summed.select("__id", *_BASE, "__sum", (2 * F.col("n_words") - 1).alias("__n"))
+
+
+def _sums_by_shuffle(docs: DataFrame, ratios: DataFrame, buckets: int, frequent: float) -> DataFrame:
+    """The same, of id and text as __id and __text; sums and __n, the n-grams summed, are those of a text and all its copies."""
+    own = docs.select("__id", "__text", text_digest(F.coalesce("__text", F.lit(""))).alias("__digest"))
+    counted = base_rules(own.select(F.struct("__id", "__digest").alias("__own"), "__text"), "__own", "__text").select("__id.__id", "__id.__digest", *_BASE)
+    total = ratios.agg(F.sum("raw").alias("n")).first()["n"] or 0
+    often = F.col("raw") >= max(1, frequent * total)
+    head = F.broadcast(ratios.filter(often).select("bucket", F.col("ratio").alias("__often")))
+    words = own.select("__digest", words_of(F.col("__text")).alias("__words"))
+    met = _stacked(_grams(words, buckets, "__digest"), "__digest").join(head, "bucket", "left")
+    near = met.filter("__often is not null").select("__digest", F.col("__often").alias("value"))
+    far = met.filter("__often is null").join(ratios.filter(~often).hint("merge"), "bucket", "left").select("__digest", F.coalesce("ratio", F.lit(0).cast("short")).alias("value"))
+    sums = near.unionByName(far).groupBy("__digest").agg(F.sum("value").alias("__sum"), F.count("*").alias("__n"))
+    return counted.join(sums, "__digest", "left").select("__id", *_BASE, "__sum", "__n")
+
+
+def score(docs: DataFrame, ratios: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, buckets: int = BUCKETS, broadcast_bytes: int = RATIO_BYTES, frequent: float = FREQUENT) -> DataFrame:
+    """id, the base counts, base_failed, kept and score of every row, under a table of ratios over `buckets` buckets."""
+    source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    if 2 * buckets <= broadcast_bytes:
+        summed = _sums_by_broadcast(base_rules(source, "__id", "__text"), ratios, buckets)
     else:
-        own = docs.select(F.struct(F.col(id_col).alias("id"), text_digest(F.coalesce(F.col(text_col), F.lit(""))).alias("digest")).alias("__own"), F.col(text_col).alias("__text"))
-        counted = base_rules(own, "__own", "__text").select(F.col("__id.id").alias("__id"), F.col("__id.digest").alias("__digest"), *base)
-        words = own.select(F.col("__own.digest").alias("__digest"), words_of(F.col("__text")).alias("__words"))
-        grams = _hashed(words).select("__digest", F.explode(_gram_buckets(buckets)).alias("bucket"))
-        means = grams.join(ratios.hint("merge"), "bucket").groupBy("__digest").agg(F.avg("ratio").alias("mean"))
-        scored = counted.join(means, "__digest", "left").select("__id", *base, F.coalesce("mean", F.lit(0.0)).alias("score"))
+        summed = _sums_by_shuffle(source, ratios, buckets, frequent)
+    scored = summed.withColumn("score", F.coalesce(F.col("__sum") / (STEPS * F.nullif("__n", F.lit(-1))), F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return scored.select(F.col("__id").alias(id_col), *base, failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
+    return scored.select(F.col("__id").alias(id_col), *_BASE, failed.alias("base_failed"), (~failed & (F.col("score") >= threshold)).alias("kept"), "score")
 
 
-def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The scores of all documents under the ratios of these same documents."""
     buckets = bucket_count(docs, text_col)
-    return score(docs, ratio_table(docs, trusted, id_col, text_col, buckets, prior), id_col, text_col, threshold, buckets)
+    return score(docs, ratio_table(docs, trusted, id_col, text_col, buckets, prior), id_col, text_col, threshold, buckets, **options)
 
 
-def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD) -> DataFrame:
+def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", prior: float = PRIOR, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The rows of docs that are kept, whole, with all their columns.
 
     A verdict is that of a text, so that rows are told apart by their texts'
@@ -168,8 +203,7 @@ def keep(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     """
     buckets = bucket_count(docs, text_col)
     ratios = ratio_table(docs, trusted, id_col, text_col, buckets, prior)
-    judged = score(docs.select(text_digest(F.col(text_col)).alias("__own"), F.col(text_col).alias("__text")), ratios, "__own", "__text", threshold, buckets)
+    judged = score(docs.select(text_digest(F.col(text_col)).alias("__own"), F.col(text_col).alias("__text")), ratios, "__own", "__text", threshold, buckets, **options)
     rejected = written(judged.filter("not kept and __own is not null").select(F.col("__own").alias("__rejected")).distinct(), "rejected")
-    rejected = F.broadcast(rejected) if rejected.count() <= BROADCAST_ROWS else rejected
     marked = docs.filter(F.col(text_col).isNotNull()).withColumn("__own", text_digest(F.col(text_col)))
-    return marked.join(rejected, F.col("__own") == F.col("__rejected"), "left_anti").drop("__own")
+    return marked.join(broadcast_if_small(rejected, 96), F.col("__own") == F.col("__rejected"), "left_anti").drop("__own")

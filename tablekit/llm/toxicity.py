@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablekit.llm.common import BROADCAST_ROWS, Words, buffers, mix64, multipliers, pieces, written
+from tablekit.llm.common import BROADCAST_BYTES, Words, buffers, mix64, multipliers, pieces, written
 
 ORDER = 5
 #: The folds that may be learned from, and the columns of their counts: by fold, then by class.
@@ -214,7 +214,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, decay: float = 1e-2, steps: int =
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", order: int = ORDER, most_types: int = MOST_TYPES, calibration_rows: int = CALIBRATION_ROWS) -> tuple[KneserNeyRatio, np.ndarray] | None:
     """The model of all labelled rows outside the held-out fold, and the regression's weights; None if a class is missing."""
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold_of(F.col(id_col)) != 2)).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("class"))
-    few = marks.count() <= BROADCAST_ROWS
+    few = marks.count() * 64 <= BROADCAST_BYTES
     source = docs.select(F.col(id_col).alias("__id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     labelled = source.join(F.broadcast(marks) if few else marks, "__id").withColumn("fold", F.when(fold_of(F.col("__id")) == 3, 2).otherwise(fold_of(F.col("__id"))).cast("int"))
     while True:

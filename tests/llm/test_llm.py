@@ -297,11 +297,33 @@ def test_near_passages_within_dissimilar_stretches():
         assert any(s <= 60 + 4 and e >= 60 + 60 for s, e, *_ in got)
 
 
+def xx(spark, rows):
+    """xxhash64 of rows of strings, as the operator hashes words."""
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], ["i", *(f"c{k}" for k in range(len(rows[0])))])
+    return [r[0] for r in df.orderBy("i").select(F.xxhash64(*df.columns[1:])).collect()]
+
+
+def test_quality_score_against_brute_force(spark, edge):
+    rows = [(i, " ".join(rand_words(60, i % 7)) + ("\n" + " ".join(x + "%" for x in rand_words(20, 70 + i % 3)) if i % 5 == 0 else "")) for i in range(40)] + EDGE
+    df, trusted = spark.createDataFrame(rows, "doc_id long, text string"), {i for i in range(0, 40, 2)}
+    buckets, prior = 1 << 12, quality.PRIOR
+    split = [[w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w] for _, t in rows]
+    ones, twos = sorted({(w,) for s in split for w in s}), sorted({p for s in split for p in zip(s, s[1:])})
+    bucket = {g: h % buckets for gs in (ones, twos) for g, h in zip(gs, xx(spark, gs))}
+    grams = [[bucket[(w,)] for w in s] + [bucket[p] for p in zip(s, s[1:])] for s in split]
+    raw = collections.Counter(b for g in grams for b in g)
+    target = collections.Counter(b for (i, _), g in zip(rows, grams) if i in trusted for b in g)
+    scale = sum(raw.values()) / sum(target.values())
+    ratio = {b: round(1024 * np.log((target[b] * scale + prior) / (raw[b] + prior))) for b in raw}
+    expected = sorted((str(i), round(sum(ratio[b] for b in g) / 1024 / max(1, len(g)), 9)) for (i, _), g in zip(rows, grams))
+    ids = spark.createDataFrame([(i,) for i in sorted(trusted)], "doc_id long")
+    ratios = quality.ratio_table(df, ids, "doc_id", "text", buckets)
+    for limit, frequent in ((1 << 20, 1.0), (0, 1.0), (0, 0.002)):
+        got = quality.score(df, ratios, buckets=buckets, broadcast_bytes=limit, frequent=frequent).collect()
+        assert sorted((str(r["doc_id"]), round(r["score"], 9)) for r in got) == expected
+        assert all(r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD) and r["base_failed"] == (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]) for r in got)
+
+
 def test_quality_buckets_grow_with_the_corpus(spark, edge):
-    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 400000)").alias("text"))
-    assert quality.bucket_count(docs) == 1 << 20 and quality.bucket_count(docs.limit(0)) == quality.bucket_count(edge) == 1 << 18
-    rows = [(i, " ".join(rand_words(60, i % 7))) for i in range(40)] + EDGE
-    df, trusted = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in range(0, 40, 2)], "doc_id long")
-    ratios = quality.ratio_table(df, trusted, "doc_id", "text", 1 << 20)
-    found = [sorted((str(r["doc_id"]), r["n_words"], r["kept"], round(r["score"], 9)) for r in quality.score(df, ratios, buckets=1 << 20, broadcast_rows=n).collect()) for n in (1 << 20, 0)]
-    assert len(found[0]) == len(rows) and found[0] == found[1]
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 4000000)").alias("text"))
+    assert quality.bucket_count(docs) == 2_000_000 and quality.bucket_count(docs.limit(0)) == quality.bucket_count(edge) == 1 << 18
