@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tablekit.llm.common import broadcast_if_small, text_digest, written
 
-BUCKETS = 1 << 18
+#: The least number of buckets, 2 MB when packed.
+BUCKETS = 1 << 20
 #: Characters of the corpus a bucket, beyond the least number of buckets: about forty distinct 2-grams.
 BUCKET_CHARS = 400
 PRIOR = 16.0

@@ -326,4 +326,4 @@ def test_quality_score_against_brute_force(spark, edge):
 
 def test_quality_buckets_grow_with_the_corpus(spark, edge):
     docs = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 4000000)").alias("text"))
-    assert quality.bucket_count(docs) == 2_000_000 and quality.bucket_count(docs.limit(0)) == quality.bucket_count(edge) == 1 << 18
+    assert quality.bucket_count(docs) == 2_000_000 and quality.bucket_count(docs.limit(0)) == quality.bucket_count(edge) == quality.BUCKETS
