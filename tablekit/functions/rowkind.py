@@ -13,9 +13,5 @@ class RowKind(IntEnum):
     def is_add(self) -> bool:
         return self in (RowKind.INSERT, RowKind.UPDATE_AFTER)
 
-    @property
-    def short(self) -> str:
-        return ("+I", "-U", "+U", "-D")[self]
-
 
 ADDS = [int(k) for k in RowKind if k.is_add]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING, Any
 
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.functions.predicate import Predicate, PredicateBuilder
-from tablekit.operators.merge import KIND, SEQUENCE, merge_on_read
+from tablekit.operators.merge import KIND, SEQUENCE, latest, merge_on_read
+from tablekit.plans.write import bucket_of
 from tablekit.sources.snapshot import DataFile
 from tablekit.sources.types import arrow_schema
 
@@ -30,7 +33,7 @@ class RowType:
 
 @dataclass(frozen=True)
 class Split:
-    """Some files of one partition, to be read together; it can be pickled and sent elsewhere."""
+    """Some files of one partition, of a primary-key table of one bucket, to be read together; it can be pickled and sent elsewhere."""
 
     files: tuple[DataFile, ...]
 
@@ -52,7 +55,8 @@ class Plan:
         return self._splits
 
 
-_FORMATS = {"parquet", "orc", "avro"}
+_KINDS = ("+I", "-U", "+U", "-D")
+ROW_KIND = "_row_kind"
 
 
 def scan(table: Table, files: Sequence[DataFile]) -> DataFrame:
@@ -76,6 +80,8 @@ class ReadBuilder:
     limit: int | None = None
     coarse: bool = False
     snapshot_id: int | None = None
+    after_id: int | None = None
+    row_kinds: bool = False
 
     def with_filter(self, predicate: Predicate) -> ReadBuilder:
         """Rows that fulfil the predicate; filters given one after the other all hold."""
@@ -95,12 +101,21 @@ class ReadBuilder:
     def at_snapshot(self, snapshot_id: int) -> ReadBuilder:
         return replace(self, snapshot_id=snapshot_id)
 
+    def between_snapshots(self, after: int, upto: int) -> ReadBuilder:
+        """What was added after one snapshot and up to another: new rows, or the last of the new versions of each key."""
+        return replace(self, after_id=after, snapshot_id=upto)
+
+    def with_row_kind(self) -> ReadBuilder:
+        """A further column, the kind of the version each row is of: +I or +U, and from between_snapshots -U and -D too."""
+        return replace(self, row_kinds=True)
+
     def new_predicate_builder(self) -> PredicateBuilder:
         return PredicateBuilder(self.table.schema.fields)
 
     def read_type(self) -> RowType:
         fields = self.table.schema.fields
-        return RowType(fields if self.projection is None else T.StructType([fields[n] for n in self.projection]))
+        chosen = [*fields] if self.projection is None else [fields[n] for n in self.projection]
+        return RowType(T.StructType([*chosen, *([T.StructField(ROW_KIND, T.StringType(), False)] if self.row_kinds else [])]))
 
     def new_scan(self) -> TableScan:
         return TableScan(self)
@@ -112,6 +127,29 @@ class ReadBuilder:
         return self.new_read().to_df(self.new_scan().plan().splits())
 
 
+#: Whether a file whose values go from least to greatest may have one that the leaf holds for.
+_MAY_HOLD: dict[str, Callable[..., bool]] = {
+    "equal": lambda lo, hi, x: lo <= x <= hi,
+    "less_than": lambda lo, hi, x: lo < x,
+    "less_or_equal": lambda lo, hi, x: lo <= x,
+    "greater_than": lambda lo, hi, x: hi > x,
+    "greater_or_equal": lambda lo, hi, x: hi >= x,
+    "between": lambda lo, hi, a, b: lo <= b and hi >= a,
+    "is_in": lambda lo, hi, *of: any(lo <= x <= hi for x in of),
+}
+
+
+def _may_hold(p: Predicate, f: DataFile) -> bool:
+    low, high = f.ranges.get(p.name, (None, None))
+    if low is None or high is None:
+        return True
+    if isinstance(low, str) and all(isinstance(x, str) for x in p.literals):  # as Spark compares: by bytes
+        return _MAY_HOLD[p.method](low.encode(), high.encode(), *(x.encode() for x in p.literals))
+    if type(low) is int and all(type(x) is int for x in p.literals):
+        return _MAY_HOLD[p.method](low, high, *p.literals)
+    return True  # literals become the column's type before they are compared, which may move them
+
+
 class TableScan:
     def __init__(self, builder: ReadBuilder):
         self.builder = builder
@@ -119,27 +157,31 @@ class TableScan:
     def plan(self) -> Plan:
         """Live files in splits of one partition each and about source.split.target-size bytes.
 
-        Files are pruned by what the filter says about partition columns alone;
-        of a primary-key table by nothing else, as other versions decide.
+        Files are pruned by what the filter says about partition columns, and by the ranges of the columns that have
+        them; of a primary-key table by the keys' ranges and buckets alone, as other versions decide on the rest.
         """
         table = self.builder.table
         snapshots = table.snapshots
         chosen = snapshots.latest() if self.builder.snapshot_id is None else snapshots.at(self.builder.snapshot_id)
-        files = self._pruned(snapshots.files(chosen))
+        files = snapshots.files(chosen)
+        if self.builder.after_id:
+            known = {f.path for f in snapshots.files(snapshots.at(self.builder.after_id))}
+            files = [f for f in files if f.path not in known]
         groups: dict[tuple, list[DataFile]] = {}
-        for f in files:
-            groups.setdefault(f.partition, []).append(f)
+        for f in self._in_range(self._in_bucket(self._pruned(files))):
+            groups.setdefault((f.partition, f.bucket), []).append(f)
         target, splits = size_of(table.schema.options.get("source.split.target-size", "128mb")), []
         for some in groups.values():
             if table.schema.primary_keys:  # all versions of a key must meet
                 splits.append(Split(tuple(some)))
                 continue
-            held: list[DataFile] = []
+            held, size = [], 0
             for f in some:
-                if held and sum(x.bytes for x in held) + f.bytes > target:
+                if held and size + f.bytes > target:
                     splits.append(Split(tuple(held)))
-                    held = []
+                    held, size = [], 0
                 held.append(f)
+                size += f.bytes
             splits.append(Split(tuple(held)))
         if self.builder.limit is not None and self.builder.coarse:
             rows = 0
@@ -149,6 +191,23 @@ class TableScan:
                     return Plan(splits[: k + 1])
         return Plan(splits)
 
+    def _in_bucket(self, files: list[DataFile]) -> list[DataFile]:
+        """If the filter fixes all of the primary key, only the files of its bucket."""
+        schema, predicate = self.builder.table.schema, self.builder.predicate
+        keys = [k for k in schema.primary_keys if k not in schema.partition_keys]
+        fixed = {p.name: p.literals[0] for p in predicate.conjuncts() if p.method == "equal"} if predicate and keys else {}
+        if not keys or any(fixed.get(k) is None for k in keys) or not files:
+            return files
+        row = self.builder.table.spark.range(1).select(*[F.lit(fixed[k]).cast(schema.fields[k].dataType).alias(k) for k in keys])
+        bucket = row.select(bucket_of(schema)).first()[0]
+        return [f for f in files if f.bucket is None or f.bucket == bucket]
+
+    def _in_range(self, files: list[DataFile]) -> list[DataFile]:
+        schema, predicate = self.builder.table.schema, self.builder.predicate
+        able = set(schema.primary_keys or schema.fields.names)
+        parts = [p for p in predicate.conjuncts() if p.name in able and p.method in _MAY_HOLD] if predicate else []
+        return [f for f in files if all(_may_hold(p, f) for p in parts)]
+
     def _pruned(self, files: list[DataFile]) -> list[DataFile]:
         table, predicate = self.builder.table, self.builder.predicate
         keys = table.schema.partition_keys
@@ -165,6 +224,14 @@ class TableScan:
         return [f for f in files if f.partition in live]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["ipc"])
+
+
 class TableRead:
     def __init__(self, builder: ReadBuilder):
         self.builder = builder
@@ -174,33 +241,46 @@ class TableRead:
         b, table = self.builder, self.builder.table
         df = scan(table, [f for s in splits for f in s.files])
         if table.schema.primary_keys:
-            df = merge_on_read(df, table.schema.primary_keys, table.schema.options.get("ignore-delete") == "true")
-        df = df.select(*[F.col(f"`{n}`") for n in table.schema.fields.names])
+            keys = table.schema.primary_keys
+            if b.after_id and b.row_kinds:
+                df = latest(df, keys)
+            else:
+                df = merge_on_read(df, keys, table.schema.options.get("ignore-delete") == "true")
+        kind = F.get(F.array(*map(F.lit, _KINDS)), F.col(KIND).cast("int")) if table.schema.primary_keys else F.lit(_KINDS[0])
+        kinds = [F.coalesce(kind, F.lit(_KINDS[0])).alias(ROW_KIND)] if b.row_kinds else []
+        df = df.select(*[F.col(f"`{n}`") for n in table.schema.fields.names], *kinds)
         if b.predicate is not None:
             df = df.filter(b.predicate.column(table.schema.fields))
         if b.projection is not None:
-            df = df.select(*[F.col(f"`{n}`") for n in b.projection])
+            df = df.select(*[F.col(f"`{n}`") for n in b.projection], *([ROW_KIND] if b.row_kinds else []))
         return df if b.limit is None or b.coarse else df.limit(b.limit)
 
     def to_arrow(self, splits: Sequence[Split]) -> pa.Table:
         return self.to_df(splits).toArrow().cast(self.builder.read_type().as_arrow())
 
     def to_arrow_batch_reader(self, splits: Sequence[Split], batch_rows: int = 1024) -> pa.RecordBatchReader:
-        """Batches as they come, one partition at a time on the driver."""
-        schema = self.builder.read_type().as_arrow()
-        df = self.to_df(splits)
+        """Batches as they come: executors encode them, and the driver holds a partition at a time.
 
-        def batches() -> Iterator[pa.RecordBatch]:
-            rows: list = []
-            for row in df.toLocalIterator(prefetchPartitions=True):
-                rows.append(row.asDict())
-                if len(rows) == batch_rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-        return pa.RecordBatchReader.from_batches(schema, batches())
+        With the catalog option max-workers above 1, as many splits are read at once, each whole.
+        """
+        schema = self.builder.read_type().as_arrow()
+        workers = int(self.builder.table.catalog_options.get("max-workers", 1))
+        if not schema.names or (workers > 1 and self.builder.limit is None):
+            found = self._by_split(splits, workers) if schema.names else iter([self.to_arrow(splits)])
+        else:
+            packed = self.to_df(splits).mapInArrow(_packed, "ipc binary")
+            found = (pa.ipc.open_stream(r[0]).read_all() for r in packed.toLocalIterator(prefetchPartitions=True))
+        return pa.RecordBatchReader.from_batches(schema, (b for t in found for b in t.cast(schema).to_batches(batch_rows)))
+
+    def _by_split(self, splits: Sequence[Split], workers: int) -> Iterator[pa.Table]:
+        with ThreadPoolExecutor(workers) as pool:
+            ahead: deque = deque()
+            for s in splits:
+                ahead.append(pool.submit(lambda s=s: self.to_df([s]).toArrow()))
+                if len(ahead) == workers:
+                    yield ahead.popleft().result()
+            while ahead:
+                yield ahead.popleft().result()
 
     def to_pandas(self, splits: Sequence[Split]):
         return self.to_df(splits).toPandas()

@@ -8,23 +8,40 @@ from dataclasses import dataclass, field
 from typing import TYPE_CHECKING, Any
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablekit.functions.rowkind import RowKind
-from tablekit.operators.merge import KIND, SEQUENCE
-from tablekit.sources.snapshot import CommitConflict, DataFile, Snapshot
+from tablekit.operators.merge import KIND, SEQUENCE, merge_on_read
+from tablekit.sources.snapshot import CommitConflict, DataFile, Snapshot, TableSchema
 from tablekit.sources.types import arrow_schema
 
 if TYPE_CHECKING:
     from tablekit.catalog import Table
 
-_PART = "__part_"
+_PART, _BUCKET = "__part_", "__bucket"
+#: Columns of these kinds have ranges in the manifests: the primary keys, those of the option stats.columns, or the first few.
+_RANGED = (T.IntegralType, T.StringType, T.FloatType, T.DoubleType)
+_FIRST_RANGED = 4
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
+def bucket_of(schema: TableSchema) -> Column:
+    """The bucket of a row of a primary-key table, from the keys that aren't partition keys."""
+    keys = [F.col(f"`{k}`") for k in schema.primary_keys if k not in schema.partition_keys]
+    return F.pmod(F.xxhash64(*keys), F.lit(int(schema.options["bucket"]))).cast("int")
+
+
+def ranged_columns(schema: TableSchema) -> list[str]:
+    fits = [f.name for f in schema.fields if isinstance(f.dataType, _RANGED)]
+    named = schema.options.get("stats.columns")
+    wanted = [n.strip() for n in named.split(",")] if named else schema.primary_keys or fits[:_FIRST_RANGED]
+    return [n for n in wanted if n in fits]
+
+
 @dataclass(frozen=True)
 class CommitMessage:
     """The files of one writer, and the sequence numbers it took."""
@@ -78,10 +95,12 @@ class BatchTableWrite:
             return
         data = data.rename_columns(expected.names)
         if self.table.schema.primary_keys:  # numbered before Spark may deal rows out in another order
-            numbers = pa.array(range(self.first + self.rows, self.first + self.rows + data.num_rows), pa.int64())
-            data = data.append_column(SEQUENCE, numbers)
+            data = data.append_column(SEQUENCE, self._numbers(data.num_rows))
         self.rows += data.num_rows
-        self._write(self._typed(self.table.spark.createDataFrame(data)), None)
+        self._write(self._typed(self.table.spark.createDataFrame(data)))
+
+    def _numbers(self, rows: int) -> pa.Array:
+        return pa.array(np.arange(self.first + self.rows, self.first + self.rows + rows))
 
     def write_arrow_batch(self, data: pa.RecordBatch) -> None:
         self.write_arrow(pa.Table.from_batches([data]))
@@ -92,24 +111,27 @@ class BatchTableWrite:
     def write_dataframe(self, df: DataFrame, sequence_field: str | None = None, kind_field: str | None = None) -> None:
         """Rows of a DataFrame, without the driver; for a primary-key table `sequence_field` orders versions."""
         if not self.table.schema.primary_keys:
-            return self._write(self._typed(df), None)
+            return self._write(self._typed(df))
         if sequence_field is None:
             raise ValueError("A DataFrame's rows have no order: sequence_field must name one for a primary-key table.")
         # above all earlier commits; the field's rank within this one is its own value
-        low, high = df.agg(F.min(F.col(sequence_field).cast("long")), F.max(F.col(sequence_field).cast("long"))).first()
-        if low is None:
+        number = F.col(sequence_field).cast("long")
+        low, high, rows, numbered = df.agg(F.min(number), F.max(number), F.count("*"), F.count(number)).first()
+        if numbered < rows:
+            raise ValueError(f"{rows - numbered} rows have no sequence: {sequence_field} is null or no number.")
+        if not rows:
             return None
-        number = F.col(sequence_field).cast("long") - F.lit(low) + self.first + self.rows
+        number = number - F.lit(low) + self.first + self.rows
         self.rows += high - low + 1
         kind = F.col(kind_field).cast("byte") if kind_field else None
-        return self._write(self._typed(df.withColumn(SEQUENCE, number), kind), kind)
+        return self._write(self._typed(df.withColumn(SEQUENCE, number), kind))
 
     def write_changes(self, data: pa.Table, kinds: Sequence[RowKind]) -> None:
         """Arrow rows with a kind each: how rows are deleted."""
-        numbers = pa.array(range(self.first + self.rows, self.first + self.rows + data.num_rows), pa.int64())
+        numbers = self._numbers(data.num_rows)
         self.rows += data.num_rows
         rows = data.rename_columns(self.table.schema.fields.names).append_column(SEQUENCE, numbers).append_column(KIND, pa.array([int(k) for k in kinds], pa.int8()))
-        self._write(self._typed(self.table.spark.createDataFrame(rows), F.col(KIND)), F.col(KIND))
+        self._write(self._typed(self.table.spark.createDataFrame(rows), F.col(KIND)))
 
     def _typed(self, df: DataFrame, kind=None) -> DataFrame:
         columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.table.schema.fields]
@@ -117,31 +139,43 @@ class BatchTableWrite:
             columns += [F.col(SEQUENCE).cast("long").alias(SEQUENCE), (kind if kind is not None else F.lit(0)).cast("byte").alias(KIND)]
         return df.select(*columns)
 
-    def _write(self, df: DataFrame, _kind) -> None:
-        schema, path = self.table.schema, f"{self.table.path}/data/{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame) -> None:
+        """Rows of a primary-key table go to one writer for each partition and bucket; those of other
+        partitioned tables to as many for each partition as its measured bytes ask for."""
+        schema, folder = self.table.schema, uuid.uuid4().hex
+        path = f"{self.table.path}/data/{folder}"
         if schema.primary_keys:
-            absent = [F.col(k).isNull() for k in schema.primary_keys]
-            df = df.withColumn(schema.primary_keys[0], F.when(_any(absent), F.raise_error(F.lit("A primary key is null."))).otherwise(F.col(schema.primary_keys[0])).cast(schema.fields[schema.primary_keys[0]].dataType))
-            df = df.repartition(int(schema.options["bucket"]), *schema.primary_keys)
-        elif schema.partition_keys:
-            df = df.repartition(*schema.partition_keys, F.pmod(F.xxhash64(*schema.fields.names), F.lit(int(schema.options.get("write.salt", "8")))))
+            absent = [F.col(f"`{k}`").isNull() for k in schema.primary_keys]
+            first = schema.fields[schema.primary_keys[0]]
+            df = df.withColumn(first.name, F.when(_any(absent), F.raise_error(F.lit("A primary key is null."))).otherwise(F.col(f"`{first.name}`")).cast(first.dataType))
         names = [_PART + k for k in schema.partition_keys]
         for k, n in zip(schema.partition_keys, names):
-            df = df.withColumn(n, F.col(k).cast("string"))
+            df = df.withColumn(n, F.col(f"`{k}`").cast("string"))
+        if schema.primary_keys:
+            df = df.withColumn(_BUCKET, bucket_of(schema))
+            names.append(_BUCKET)
+            df = df.repartition(*(F.col(f"`{n}`") for n in names))
+        elif names:
+            df = df.hint("rebalance", *names)
         writer = df.write.format(self.table.format)
         self.folders.append(path)
         (writer.partitionBy(*names) if names else writer).save(path)
         written = dict(self.table.store.files(path))
         if not written:
             return
-        reader = self.table.spark.read.format(self.table.format).schema(T.StructType([df.schema[df.columns[0]]])).option("recursiveFileLookup", "true").load(list(written))
-        counts = {unquote(r[0]): r[1] for r in reader.groupBy(F.col("_metadata.file_path")).count().collect()}
+        below = lambda p: p.split(f"/{folder}/", 1)[1]
+        ranged = ranged_columns(schema)
+        kept = T.StructType([schema.fields[c] for c in ranged] or [schema.fields.fields[0]])
+        reader = self.table.spark.read.format(self.table.format).schema(kept).option("recursiveFileLookup", "true").load(path)
+        found = reader.groupBy(F.col("_metadata.file_path").alias("__path")).agg(F.count("*"), *(f(F.col(f"`{c}`")) for c in ranged for f in (F.min, F.max))).collect()
+        counts = {below(unquote(r[0])): (r[1], {c: (r[2 + 2 * i], r[3 + 2 * i]) for i, c in enumerate(ranged)}) for r in found}
         for p, size in written.items():
-            values = {x.split("=", 1)[0]: x.split("=", 1)[1] for x in p.split("/") if x.startswith(_PART)}
-            partition = tuple(None if values[n] == _NO_VALUE else unquote(values[n]) for n in names)
-            rows = next((n for q, n in counts.items() if q.rsplit("/", 1)[-1] == p.rsplit("/", 1)[-1] and unquote(q).endswith(unquote(p).split(":", 1)[-1].lstrip("/"))), 0)
+            values = {x.split("=", 1)[0]: x.split("=", 1)[1] for x in below(p).split("/")[:-1]}
+            bucket = int(values.pop(_BUCKET)) if schema.primary_keys else None
+            partition = tuple(None if values[n] == _NO_VALUE else unquote(values[n]) for n in names if n != _BUCKET)
+            rows, ranges = counts.get(below(p), (0, {}))
             if rows:
-                self.files.append(DataFile(p, rows, size, partition))
+                self.files.append(DataFile(p, rows, size, partition, bucket, ranges))
 
     def prepare_commit(self) -> list[CommitMessage]:
         message = CommitMessage(tuple(self.files), self.first, self.rows)
@@ -166,25 +200,58 @@ class BatchTableCommit:
     def __init__(self, builder: BatchWriteBuilder):
         self.builder, self.table = builder, builder.table
 
-    def commit(self, messages: Sequence[CommitMessage]) -> int:
-        """Publishes the files as a new snapshot, whose number it returns; tries again if another writer was first."""
+    def commit(self, messages: Sequence[CommitMessage], stream: tuple[str, int] | None = None) -> int:
+        """Publishes the files as a new snapshot, whose number it returns; tries again if another writer was first.
+
+        stream: a writer and the number of its batch; if a snapshot has that or a later one, nothing is published.
+        """
         files = [f for m in messages for f in m.files]
         snapshots, schema = self.table.snapshots, self.table.schema
         added = snapshots.manifest(files) if files else None
         while True:
             last = snapshots.latest()
+            if stream and last.streams.get(stream[0], -1) >= stream[1]:
+                return last.id
             if schema.primary_keys and any(m.sequences and m.first_sequence < last.next_sequence for m in messages):
                 raise CommitConflict("Another writer has committed versions since these were written.")
-            kept = last.manifests if not self.builder.overwrites else self._kept(snapshots.files(last), files)
+            kept = snapshots.merged(last) if not self.builder.overwrites else self._kept(snapshots.files(last), files)
             following = max([last.next_sequence, *(m.first_sequence + m.sequences for m in messages)])
-            new = Snapshot(last.id + 1, "OVERWRITE" if self.builder.overwrites else "APPEND", [*kept, *([added] if added else [])], following)
+            new = Snapshot(last.id + 1, "OVERWRITE" if self.builder.overwrites else "APPEND", [*kept, *([added] if added else [])], following, last.streams | (dict([stream]) if stream else {}))
+            if snapshots.publish(new):
+                return new.id
+
+    def compact(self, writer: BatchTableWrite) -> int | None:
+        """Replaces the live files by few with the same rows; a primary-key table keeps last versions only."""
+        from tablekit.plans.read import scan
+
+        snapshots, schema = self.table.snapshots, self.table.schema
+        old = snapshots.files(snapshots.latest())
+        if not old:
+            return None
+        df = scan(self.table, old)
+        if schema.primary_keys:
+            df = merge_on_read(df, schema.primary_keys, schema.options.get("ignore-delete") == "true")
+        elif not schema.partition_keys:
+            df = df.hint("rebalance")
+        writer._write(df)
+        files = [f for m in writer.prepare_commit() for f in m.files]
+        added = [snapshots.manifest(files)] if files else []
+        gone = {f.path for f in old}
+        while True:
+            last = snapshots.latest()
+            live = snapshots.files(last)
+            if not gone <= {f.path for f in live}:
+                raise CommitConflict("Another writer has replaced files since they were read.")
+            later = [f for f in live if f.path not in gone]
+            new = Snapshot(last.id + 1, "COMPACT", [*([snapshots.manifest(later)] if later else []), *added], last.next_sequence, last.streams)
             if snapshots.publish(new):
                 return new.id
 
     def _kept(self, live: list[DataFile], new: list[DataFile]) -> list[str]:
         schema, static = self.table.schema, self.builder.static_partition
         if static:
-            rows = self.table.spark.createDataFrame([(0,)], "x int").select(*[F.lit(str(v)).cast(schema.fields[k].dataType).cast("string").alias(k) for k, v in static.items()]).first().asDict()
+            typed = [F.lit(None if v is None else str(v)).cast(schema.fields[k].dataType).cast("string").alias(k) for k, v in static.items()]
+            rows = self.table.spark.createDataFrame([(0,)], "x int").select(*typed).first().asDict()
             where = {schema.partition_keys.index(k): v for k, v in rows.items()}
             for f in new:
                 if any(f.partition[i] != v for i, v in where.items()):

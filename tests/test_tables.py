@@ -174,11 +174,100 @@ def test_filters_reach_the_files(catalog):
     assert "EqualTo(f0,1)" in plan and "f2" not in plan.split("ReadSchema")[1]
 
 
-def test_stream(catalog, spark, tmp_path):
+def test_streams(catalog, spark, tmp_path):
     t = make(catalog, "stream", [("id", pa.int64())])
-    spark.range(10).write.parquet(str(tmp_path / "in"))
+    spark.range(10).repartition(2).write.parquet(str(tmp_path / "in"))
     from tablekit.streaming.sink import write_stream
 
-    q = write_stream(spark.readStream.schema("id long").parquet(str(tmp_path / "in")), t, str(tmp_path / "ck")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert t.to_df().agg(F.sum("id")).first()[0] == 45
+    def run(checkpoint):
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        write_stream(stream, t, checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    for folder in ("a", "b"):  # two streams whose checkpoints have one base name
+        run(str(tmp_path / folder / "ck"))
+        run(str(tmp_path / folder / "ck"))  # nothing new
+    assert t.to_df().agg(F.sum("id"), F.count("*")).first() == (90, 20)
+    # a crash after the snapshot was published and before Spark took note: the batch comes again
+    found = t.snapshots.latest()
+    b = t.new_batch_write_builder()
+    w = b.new_write()
+    w.write_dataframe(spark.range(3))
+    for writer, number in found.streams.items():
+        assert b.new_commit().commit(w.prepare_commit(), stream=(writer, number)) == found.id
+    assert t.to_df().count() == 20
+
+
+def test_event_time(spark, tmp_path):
+    from tablekit.streaming.windows import drained, running_totals, windowed
+
+    minutes = lambda *m: spark.createDataFrame([(f"2024-01-01 10:{x:02d}:00", x) for x in m], "t string, v int").selectExpr("to_timestamp(t) AS t", "v")
+    for df in (minutes(1, 2, 12), minutes(3, 40), minutes(41), minutes(4, 42)):  # the last one's 4 comes after its window has been closed
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("t timestamp, v int").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = drained(windowed(stream(), "t", "10 minutes", [], [F.count("*").alias("n")], delay="5 minutes"), str(tmp_path / "w")).collect()
+    assert sorted((r["window_start"].minute, r["n"]) for r in got) == [(0, 3), (10, 1)]
+    got = drained(running_totals(stream().withColumn("k", F.lit(1)), "k", "v"), str(tmp_path / "s"), "update").collect()
+    assert sorted((r["n"], r["total"]) for r in got) == [(3, 15.0), (5, 58.0), (6, 99.0), (8, 145.0)]
+
+
+def test_joins_with_nulls(spark):
+    from tablekit.operators.relational import asof_join, range_join
+
+    left = spark.createDataFrame([(1, 10), (1, None), (None, 10), (2, 5), (1, 3), (1, 30)], "k int, t int")
+    right = spark.createDataFrame([(1, 4, "a"), (1, None, "b"), (None, 1, "c"), (1, 9, "d"), (2, 6, "e"), (1, 12, None)], "k int, t int, v string")
+    expected = sorted([(1, 10, "d"), (1, None, None), (None, 10, None), (2, 5, None), (1, 3, None), (1, 30, None)], key=str)
+    for bucket in (None, F.floor(F.col("__t") / 4)):
+        assert rows_of(asof_join(left, right, ["k"], "t", "t", ["v"], bucket)) == expected
+    named = left.withColumnsRenamed({"t": "__t", "k": "__side"})
+    assert rows_of(asof_join(named, right.withColumnsRenamed({"k": "__side"}), ["__side"], "__t", "t", ["v"])) == expected
+    ranges = spark.createDataFrame([("x", 0, 5), ("y", 4, 10_000_000), ("z", 7, 7), (None, None, 3)], "n string, lo int, hi int")
+    assert rows_of(range_join(left.filter("k = 1"), ranges, "t", "lo", "hi", 1.0).select("t", "n")) == [(10, "y"), (3, "x"), (30, "y")]
+    assert range_join(left, ranges.limit(0), "t", "lo", "hi").count() == 0
+
+
+def test_writes_are_refused_or_replaced(catalog, spark):
+    t = make(catalog, "nullseq", [("k", pa.int32())], primary_keys=["k"], options={"bucket": "1"})
+    w = t.new_batch_write_builder().new_write()
+    with pytest.raises(ValueError, match="no sequence"):
+        w.write_dataframe(spark.createDataFrame([(1, None), (2, 3)], "k int, s int"), "s")
+    fields = pa.schema([("p", pa.string()), ("v", pa.int32())])
+    t = make(catalog, "nullpart", fields, [(None, 1), ("a", 2), ("null", 3)], partition_keys=["p"])
+    put(t, fields, [(None, 9)], t.new_batch_write_builder().overwrite({"p": None}))
+    assert rows_of(t.to_df()) == [("a", 2), ("null", 3), (None, 9)]
+    with pytest.raises(ValueError, match="Avro module"):
+        make(catalog, "avro", fields, options={"file.format": "avro"})
+    catalog.create_database("with", False, {"owner": "me"})
+    assert catalog.database_properties("with") == {"owner": "me"} and catalog.database_properties("d") == {}
+
+
+def test_versions_of_a_table(catalog):
+    fields = pa.schema([pa.field("k", pa.int32(), False), ("v", pa.string())])
+    t = make(catalog, "versions", fields, commits=[[(i, "old") for i in range(20)], [(i, "new") for i in range(5)]], primary_keys=["k"], options={"bucket": "3"})
+    rb = t.new_read_builder()
+    b = rb.new_predicate_builder()
+    assert len(rb.new_scan().plan().splits()) == 3 and {f.bucket for s in rb.new_scan().plan().splits() for f in s.files} == {0, 1, 2}
+    one = rb.with_filter(b.equal("k", 3))
+    assert len(one.new_scan().plan().splits()) == 1 and one.to_df().collect() == [(3, "new")]
+    assert rb.with_filter(b.greater_than("k", 19)).new_scan().plan().splits() == []
+    assert rb.between_snapshots(1, 2).to_df().count() == 5
+    t.compact()
+    assert t.to_df().count() == 20 and sum(s.row_count() for s in rb.new_scan().plan().splits()) == 20
+    assert t.expire_snapshots(1) == 2 and t.to_df().filter("v = 'new'").count() == 5
+    t.add_column("w", "int")
+    u = catalog.get_table("d.versions")
+    assert u.to_df().columns == ["k", "v", "w"] and u.to_df().filter("w IS NULL").count() == 20
+    with pytest.raises(ValueError):
+        u.add_column("w", "int")
+    many = make(catalog, "many", [("x", pa.int32())])
+    from tablekit.sources import snapshot
+
+    for i in range(4):
+        put(many, pa.schema([("x", pa.int32())]), [(i,)])
+    snapshot.MOST_MANIFESTS, before = 2, snapshot.MOST_MANIFESTS
+    try:
+        put(many, pa.schema([("x", pa.int32())]), [(9,)])
+    finally:
+        snapshot.MOST_MANIFESTS = before
+    assert len(many.snapshots.latest().manifests) == 2 and rows_of(many.to_df()) == [(0,), (1,), (2,), (3,), (9,)]
+    rb = many.new_read_builder()
+    assert len(rb.with_filter(rb.new_predicate_builder().equal("x", 9)).new_scan().plan().splits()[0].files) == 1
