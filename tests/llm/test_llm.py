@@ -202,9 +202,12 @@ def test_passages(spark, edge):
     rows += [(9, " ".join(rand_words(300, 999))), (7, rows[0][1])]
     got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"] for r in got} == {0, 1, 2, 3, 4, 7}
-    assert {(r["start"], r["end"]) for r in got if r["doc_id"] in (1, 2, 3, 4)} == {(120, 180)}
+    assert all([tuple(x) for x in r["spans"]] == [(120, 180)] and r["n_repeated"] == 60 for r in got if r["doc_id"] in (1, 2, 3, 4))
+    assert all(r["class_id"] == 0 and r["partner_id"] != r["doc_id"] for r in got) and len(got) == 6
+    assert all([tuple(x) for x in r["spans"]] == [(0, 270)] for r in got if r["doc_id"] in (0, 7))
     assert substring_dup.duplicate_passages(edge.limit(0)).count() == 0
-    assert {r["doc_id"] for r in substring_dup.duplicate_passages(edge).collect()} <= {5}
+    again = substring_dup.duplicate_passages(edge).collect()
+    assert [(r["doc_id"], r["class_id"], r["n_repeated"]) for r in again] == [(5, 5, 3000)] * 2
     values = np.random.default_rng(3).integers(0, 1 << 60, 40).astype(np.uint64)
     windows = substring_dup.compact_windows(values, 7)
     for x in range(40):
@@ -268,7 +271,76 @@ def test_passages_of_many_groups_behind_one_frequent_text(spark):
         shared = rand_words(46, 40 + g % 8) + rand_words(4, 5000 + g)
         rows += [(10 * g + i, " ".join(rand_words(40, 6000 + 10 * g + i) + shared + rand_words(40, 7000 + 10 * g + i))) for i in range(2)]
     got = substring_dup.duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {d for d, _ in rows} == {r["doc_id"] for r in got if (r["start"], r["end"]) == (40, 90)}
+    assert {d for d, _ in rows} == {r["doc_id"] for r in got if [tuple(x) for x in r["spans"]] == [(40, 90)]}
+
+
+def shingle_sets(text):
+    w = text.split()
+    return [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+
+
+def links_by_brute_force(texts):
+    """Pairs of texts that verification links, every text met with every other, by its own definition's slow form."""
+    tokens = [shingle_sets(t) for t in texts]
+    number = {g: int(v) for g, v in zip(sorted({g for t in tokens for g in t}), np.random.default_rng(1).integers(1, 1 << 62, 10**6))}
+    arrays = [np.array([number[g] for g in t], np.uint64) for t in tokens]
+    return {(i, j) for i in range(len(texts)) for j in range(i) if any(substring_dup.passages(arrays[i], arrays[j], 50, 0.8))}
+
+
+def components_of(n, links):
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in links:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("small", [64, 8])
+def test_passages_of_a_group_of_changed_copies(spark, small):
+    """80 changed copies of one passage, each linked with some of the others; small=8 takes the way of large keys."""
+    passage = rand_words(150, 1)
+    texts = []
+    for i in range(80):
+        rng, copy = np.random.default_rng(1000 + i), list(passage)
+        for k in rng.choice(150, rng.integers(2, 14), replace=False):
+            copy[k] = f"c{i}x{k}"
+        texts.append(" ".join(rand_words(40, 2000 + i) + copy + rand_words(40, 3000 + i)))
+    wanted = components_of(80, links_by_brute_force(texts))
+    linked = {i for i in range(80) if wanted.count(wanted[i]) > 1}
+    got = {r["doc_id"]: r["class_id"] for r in substring_dup.duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), small=small).collect()}
+    assert got == {i: wanted[i] for i in linked} and len(linked) > 60
+
+
+def test_exact_passages_of_large_groups(spark):
+    """Of any group the exact passages are whole, also where they are longer between some of its texts."""
+    shared, more = rand_words(60, 5), rand_words(40, 6)
+    texts = [rand_words(50, 100 + i) + shared + (more if i % 3 == 0 else []) + rand_words(50, 200 + i) + (shared[:55] if i == 4 else []) for i in range(30)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for small in (4, 64):
+        got = {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in substring_dup.duplicate_passages(df, small=small).collect()}
+        assert got == {i: [(50, 150 if i % 3 == 0 else 110)] + ([(160, 215)] if i == 4 else []) for i in range(30)}
+
+
+@pytest.mark.parametrize("small", [64, 2])
+def test_near_passages_are_found(spark, small):
+    """Near passages between otherwise different texts, against brute force over all pairs."""
+    rng, texts = np.random.default_rng(5), []
+    for i in range(40):
+        passage = rand_words(52 + 3 * i, 400 + i)
+        other = list(passage)
+        for k in range(1 + len(passage) // 60):
+            at = int(rng.integers(0, len(other)))
+            other[at : at + int(rng.integers(0, 2))] = [f"n{i}q{k}"]
+        texts += [" ".join(rand_words(60, 500 + i) + passage), " ".join(other + rand_words(70, 600 + i))]
+    wanted = links_by_brute_force(texts)
+    got = {r["doc_id"]: r["class_id"] for r in substring_dup.duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), small=small).collect()}
+    assert len(wanted) >= 30 and set(got) == {x for p in wanted for x in p} and all(got[i] == j for i, j in wanted)
 
 
 def test_near_passages_within_dissimilar_stretches():
@@ -292,9 +364,10 @@ def test_near_passages_within_dissimilar_stretches():
         x, y = (np.array([number[tuple(t[k : k + 5])] for k in range(len(t) - 4)], np.uint64) for t in (a, b))
         sets = lambda v, n: [(s, set(v[s : s + n].tolist())) for s in range(len(v) - n + 1)]
         wanted = {s for n in (46, 53, 60) for s, p in sets(x, n) for _, q in sets(y, n) if len(p & q) > 36 and near(p, q)}
-        got = substring_dup.passages(x, y, 50, 0.8)
-        assert wanted and got and all(near(set(x[s : e - 4].tolist()), set(y[u : v - 4].tolist())) for s, e, u, v, _ in got)
-        assert any(s <= 60 + 4 and e >= 60 + 60 for s, e, *_ in got)
+        got, other_side = substring_dup.passages(x, y, 50, 0.8)
+        assert wanted and got and other_side
+        inside = {p for s, e, _ in got for p in range(s, e - 4)}
+        assert all(any(q in inside for q in range(s, s + 46)) for s in wanted) and any(s <= 64 and e >= 120 for s, e, _ in got)
 
 
 def xx(spark, rows):
