@@ -284,7 +284,8 @@ def links_by_brute_force(texts):
     tokens = [shingle_sets(t) for t in texts]
     number = {g: int(v) for g, v in zip(sorted({g for t in tokens for g in t}), np.random.default_rng(1).integers(1, 1 << 62, 10**6))}
     arrays = [np.array([number[g] for g in t], np.uint64) for t in tokens]
-    return {(i, j) for i in range(len(texts)) for j in range(i) if any(substring_dup.passages(arrays[i], arrays[j], 50, 0.8))}
+    sides = [substring_dup.Side(x, 46) for x in arrays]
+    return {(i, j) for i in range(len(texts)) for j in range(i) if any(substring_dup.passages(arrays[i], sides[j], 50, 0.8))}
 
 
 def components_of(n, links):
@@ -364,7 +365,7 @@ def test_near_passages_within_dissimilar_stretches():
         x, y = (np.array([number[tuple(t[k : k + 5])] for k in range(len(t) - 4)], np.uint64) for t in (a, b))
         sets = lambda v, n: [(s, set(v[s : s + n].tolist())) for s in range(len(v) - n + 1)]
         wanted = {s for n in (46, 53, 60) for s, p in sets(x, n) for _, q in sets(y, n) if len(p & q) > 36 and near(p, q)}
-        got, other_side = substring_dup.passages(x, y, 50, 0.8)
+        got, other_side = substring_dup.passages(x, substring_dup.Side(y, 46), 50, 0.8)
         assert wanted and got and other_side
         inside = {p for s, e, _ in got for p in range(s, e - 4)}
         assert all(any(q in inside for q in range(s, s + 46)) for s in wanted) and any(s <= 64 and e >= 120 for s, e, _ in got)
