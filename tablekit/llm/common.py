@@ -49,6 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def emptied(table: DataFrame) -> None:
+    """Takes the space of a table of `written` that is read no more, and lets Spark drop shuffles nothing refers to."""
+    folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    spark = table.sparkSession
+    for folder in folders:
+        spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
+    spark._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
     """df, to be broadcast if its rows, of `row_bytes` in memory each, are counted to fit `most` bytes."""
     return F.broadcast(df) if df.count() * row_bytes <= most else df

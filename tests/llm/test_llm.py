@@ -328,6 +328,13 @@ def test_exact_passages_of_large_groups(spark):
         assert got == {i: [(50, 150 if i % 3 == 0 else 110)] + ([(160, 215)] if i == 4 else []) for i in range(30)}
 
 
+def test_exact_passages_after_a_part_of_them(spark):
+    shared = rand_words(70, 5)
+    texts = [shared[:30] + rand_words(40, 1) + shared + rand_words(20, 2), rand_words(60, 3) + shared]
+    got = substring_dup.duplicate_passages(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: [tuple(x) for x in r["spans"]] for r in got} == {0: [(70, 140)], 1: [(60, 130)]}
+
+
 @pytest.mark.parametrize("small", [64, 2])
 def test_near_passages_are_found(spark, small):
     """Near passages between otherwise different texts, against brute force over all pairs."""
