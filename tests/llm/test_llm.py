@@ -304,7 +304,7 @@ def components_of(n, links):
 
 @pytest.mark.parametrize("small", [64, 8])
 def test_passages_of_a_group_of_changed_copies(spark, small):
-    """80 changed copies of one passage, each linked with some of the others; small=8 takes the way of large keys."""
+    """80 changed copies of one passage, each linked with some of the others; small=8 takes the way of large keys, which may miss near passages."""
     passage = rand_words(150, 1)
     texts = []
     for i in range(80):
@@ -315,7 +315,8 @@ def test_passages_of_a_group_of_changed_copies(spark, small):
     wanted = components_of(80, links_by_brute_force(texts))
     linked = {i for i in range(80) if wanted.count(wanted[i]) > 1}
     got = {r["doc_id"]: r["class_id"] for r in substring_dup.duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), small=small).collect()}
-    assert got == {i: wanted[i] for i in linked} and len(linked) > 60
+    assert got.items() <= {i: wanted[i] for i in linked}.items() and len(linked) > 60
+    assert len(got) >= len(linked) - (0 if small == 64 else 3)  # what large keys may miss, as the operator says
 
 
 def test_exact_passages_of_large_groups(spark):
