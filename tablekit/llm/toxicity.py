@@ -11,8 +11,9 @@ haven't counted the fold they are in.
 
 Counts are gathered from every labelled row; only the regression is fitted on
 at most `calibration_rows` of them, those with the smallest hashes of their
-ids.  The table of n-grams is collected and broadcast only while it has at most
-`most_types` entries (12 bytes each); if it has more, the order is lowered.
+ids.  The order is the same at any size.  The table of n-grams, which grows with
+the labelled texts' kinds of words, is collected and broadcast; one of more than
+`most_types` entries (24 bytes each) is refused before it is collected.
 
 Edge cases: null and empty texts have features of zero and the score of the
 regression's intercept.  Labels of one id are united by their maximum; null
@@ -38,7 +39,7 @@ FOLDS = (0, 1, 3)
 _COUNTS = [f"n{f}{y}" for f in FOLDS for y in (0, 1)]
 DISCOUNT = 0.75
 WINDOW = 10
-MOST_TYPES = 2_000_000
+MOST_TYPES = 10_000_000
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 
@@ -48,6 +49,12 @@ def fold_of(id_column: Column) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % 4
 
 
+def _place(id_column: str) -> Column:
+    """The place of a row's fold in FOLDS."""
+    fold = fold_of(F.col(id_column))
+    return F.when(fold == 3, 2).otherwise(fold).cast("int")
+
+
 def _chars(words: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the words, each between order - 1 starts and an end; the word of each n-gram that begins there, or -1."""
     pad = "\x02" * (order - 1)
@@ -216,23 +223,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold_of(F.col(id_col)) != 2)).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("class"))
     few = marks.count() * 64 <= BROADCAST_BYTES
     source = docs.select(F.col(id_col).alias("__id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    labelled = source.join(F.broadcast(marks) if few else marks, "__id").withColumn("fold", F.when(fold_of(F.col("__id")) == 3, 2).otherwise(fold_of(F.col("__id"))).cast("int"))
-    while True:
-        counts = written(gram_counts(labelled.select("text", "class", "fold"), order), "grams")
-        if order == 1 or counts.count() <= most_types:
-            break
-        order -= 1
+    labelled = source.join(F.broadcast(marks) if few else marks, "__id").withColumn("fold", _place("__id"))
+    counts = written(gram_counts(labelled.select("text", "class", "fold"), order), "grams")
+    if (types := counts.count()) > most_types:
+        raise ValueError(f"The labelled texts have {types} distinct n-grams of order {order}, more than {most_types}, which are not to be collected.")
     found = counts.toArrow()
     codes = np.frombuffer("".join(found.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, order)
     by = np.column_stack([found.column(c).to_numpy() for c in _COUNTS]).reshape(-1, len(FOLDS), 2)
     whole = by.sum(1)
     if not whole.sum(0).all():
         return None
-    total = labelled.count()
-    rows = labelled
+    ids = marks.select("__id", "class")
+    total = ids.count()
     if total > calibration_rows:  # about the smallest hashes first, so that a bounded number is sorted
-        rows = rows.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < (1 << 20) * min(1.0, 1.1 * calibration_rows / total))
-        rows = rows.orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows)
+        ids = ids.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < (1 << 20) * min(1.0, 1.1 * calibration_rows / total + 1e-4))
+        ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(calibration_rows)
+    sample = written(source.join(F.broadcast(ids), "__id").select("class", _place("__id").alias("fold"), "text"), "sample")
+    rows = sample
     got = [_features(rows.filter(F.col("fold") == f), KneserNeyRatio(codes, whole - by[:, f]), "class").toArrow() for f in range(len(FOLDS)) if (whole - by[:, f]).sum(0).all()]
     if not sum(map(len, got)):  # too few rows for folds: the fit sees counted ones
         got = [_features(rows, KneserNeyRatio(codes, whole), "class").toArrow()]
