@@ -38,6 +38,7 @@ MAIN_TAGS = frozenset("article main".split())
 #: Words in class and id attributes, and roles, that tell what an element is for.
 BOILER_WORDS = re.compile(r"(?<![a-z])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|consent|cookies?|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav\w*|newsletter|notices?|pagination|popup|promo\w*|related|replies|reply|responses|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|tags|toolbar|topbar|widget)(?![a-z])")
 MAIN_WORDS = re.compile(r"(?<![a-z])(?:article|body|content|entry|main|post|story|text)(?![a-z])")
+COMMENT_NAMES = frozenset("comment comments commentlist comment-list comments-list comment-thread disqus replies responses".split())
 BOILER_ROLES = re.compile(r"banner|complementary|contentinfo|dialog|form|navigation|search|alert|menu")
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -47,7 +48,7 @@ _HIDING = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 #: An end tag of a paragraph, list item or cell is implied by what follows it.
 _IMPLIED = {"p": BLOCK_TAGS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 
-FEATURES = ("bias", "in_main", "in_boiler", "boiler_names", "main_names", "link_share", "words", "stops", "heading", "list_item", "hidden")
+FEATURES = ("bias", "in_main", "in_boiler", "boiler_names", "main_names", "link_share", "words", "stops", "heading", "list_item", "hidden", "near_words", "near_links", "unmarked_words", "unmarked_near_words")
 
 
 class Block:
@@ -62,7 +63,7 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; white space inside a block is one blank."""
     out: list[Block] = []
-    stack: list[tuple] = []  # (tag, is boilerplate, names of boilerplate, names of content, hidden, number)
+    stack: list[tuple] = []  # (tag, is boilerplate, names of boilerplate, names of content, hidden, number, names of comments)
     text: list[str] = []
     linked = links = number = 0
 
@@ -120,34 +121,52 @@ def blocks(page: str) -> list[Block]:
         role = _ROLE.search(m[4])
         boiler = tag in BOILER_TAGS or bool(role and BOILER_ROLES.match(role[1].lower()))
         number += 1
-        stack.append((tag, boiler, bool(names and BOILER_WORDS.search(names)), bool(names and MAIN_WORDS.search(names)), tag in HIDDEN_TAGS or bool(_HIDING.search(m[4])), number))
+        comments = not COMMENT_NAMES.isdisjoint(names.split())
+        stack.append((tag, boiler, comments or bool(names and BOILER_WORDS.search(names)), bool(names and MAIN_WORDS.search(names)), tag in HIDDEN_TAGS or bool(_HIDING.search(m[4])), number, comments))
         links += tag == "a"
     flush()
     return out
 
 
 def featurize(found: list[Block]) -> None:
+    sizes = [math.log1p(b.text.count(" ") + 1) / 4 for b in found]
+    links = [min(1.0, b.linked / max(1, b.chars)) for b in found]
+    marked = False  # whether the page says anywhere what is its content
+    rows = []
     for b in found:
+        inside = next((i for i, x in enumerate(b.path) if x[0] in MAIN_TAGS), None)
+        said = next((i for i, x in enumerate(b.path) if x[6]), len(b.path))
+        if inside is not None and said <= inside:
+            inside = None  # a comment is no article, whatever its element
         inner = None  # the innermost element that says what it is for
-        for tag, boiler, bad, good, _, _ in reversed(b.path):
-            if boiler or bad or tag in MAIN_TAGS or good:
-                inner = "boiler" if boiler or bad and not (tag in MAIN_TAGS) else "main"
+        for tag, boiler, bad, good, _, _, comments in reversed(b.path):
+            own = boiler and not (tag == "header" and inside is not None)
+            if own or bad or tag in MAIN_TAGS or good:
+                inner = "boiler" if own or comments or bad and tag not in MAIN_TAGS else "main"
                 break
-        words = b.text.count(" ") + 1
-        inside = next((i for i, x in enumerate(b.path) if x[0] in MAIN_TAGS), None)
         after = b.path[inside + 1 :] if inside is not None else b.path
+        marked = marked or inner == "main"
+        rows.append((inside, inner, after))
+    for k, (b, (inside, inner, after)) in enumerate(zip(found, rows)):
+        words = b.text.count(" ") + 1
+        around = [i for i in (k - 2, k - 1, k + 1, k + 2) if 0 <= i < len(found)]
+        near_words = max((sizes[i] * (1 - links[i]) for i in around), default=0.0)
         b.features = (
             1.0,
             float(inside is not None),
-            float(any(x[1] for x in (after if inside is not None else b.path))),
+            float(any(x[1] and not (x[0] == "header" and inside is not None) for x in after)),
             float(any(x[2] for x in after)),
             float(inner == "main"),
-            min(1.0, b.linked / max(1, b.chars)),
-            math.log1p(words) / 4,
+            links[k],
+            sizes[k],
             min(1.0, sum(b.text.count(c) for c in ".,;:!?") / words),
             float(any(x[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for x in b.path)),
             float(any(x[0] == "li" for x in b.path)),
             float(any(x[4] for x in b.path)),
+            near_words,
+            sum(links[i] for i in around) / max(1, len(around)),
+            0.0 if marked else sizes[k],
+            0.0 if marked else near_words,
         )
 
 
@@ -191,9 +210,15 @@ def _labelled_pages(n: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
         if rnd.random() < 0.8:
             menu()
         boxes(rnd.randint(0, 2))
-        tag = rnd.choice(["article", "article", "main", "div"])
-        add(f"<{tag}{names('content', 'post-body', 'entry-content', 'article-text') if tag == 'div' or rnd.random() < 0.3 else ''}>")
-        add(f"<h1>{say(2, 12)}</h1>", True)
+        tag = rnd.choice(["article", "article", "main", "div", "div", "td"])
+        plain = tag == "td" or tag == "div" and rnd.random() < 0.5  # nothing says what is content
+        if tag == "td":
+            add(f"<table><tr><td>{link()}</td>", False)
+        add(f"<{tag}{names('content', 'post-body', 'entry-content', 'article-text') if tag == 'div' and not plain or tag != 'td' and not plain and rnd.random() < 0.3 else ''}>")
+        if tag == "article" and rnd.random() < 0.3:
+            add(f"<header><h1>{say(2, 12)}</h1></header>", True)
+        else:
+            add(f"<h1>{say(2, 12)}</h1>", True)
         for _ in range(rnd.randint(1, 14)):
             kind = rnd.random()
             if kind < 0.7:
@@ -206,11 +231,12 @@ def _labelled_pages(n: int, seed: int) -> Iterator[tuple[str, list[bool]]]:
                 add(f"<blockquote>{say(5, 40)}</blockquote>", True)
             else:
                 boxes(1)
-        add(f"</{tag}>")
+        add("</td></tr></table>" if tag == "td" else f"</{tag}>")
         if rnd.random() < 0.4:
+            each = rnd.choice(["p", "p", "article", 'article class="comment"'])
             add(f"<section{names('comments', 'comment-list', 'responses')}>")
             for _ in range(rnd.randint(1, 4)):
-                add(f"<p>{say(3, 50)}</p>", False)
+                add(f"<{each}>{say(3, 50)}</{each.split()[0]}>", False)
             add("</section>")
         boxes(rnd.randint(0, 2))
         if rnd.random() < 0.8:

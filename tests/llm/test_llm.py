@@ -118,6 +118,21 @@ def test_html(spark):
     assert len(got) == 5 and got[0]["text"] == "" and got[3]["text"] == "cut &am"
 
 
+@pytest.mark.parametrize("page,wanted", [
+    ("<div><a href=a>Home</a> <a href=b>News</a></div><div><h1>The title here</h1><p>{0}</p><p>{1}</p></div>", "The title here {0} {1}"),
+    ("<table><tr><td><a href=a>Home</a></td><td><h1>The title here</h1><p>{0}</p><p>{1}</p></td></tr></table>", "The title here {0} {1}"),
+    ("<div class=content><p>{0}</p></div><div class=commentlist><p>{1}</p></div>", "{0}"),
+    ("<article><header><h1>Real Title</h1></header><p>{0}</p></article>", "Real Title {0}"),
+    ("<article><h1>Head</h1><p>{0}</p></article><article class=comment><p>{1}</p></article>", "Head {0}"),
+    ("<article><h1>Head</h1><p>{0}</p></article><ol class=commentlist><li><article><p>{1}</p></article></li></ol>", "Head {0}"),
+    ("<div><p>{0}</p></div><div class=commentlist><p>{1}</p></div>", "{0}"),
+    ("<article><h1>Head</h1><p>{0}</p><div class=related><a href=a>One more</a> <a href=b>Two</a></div><p>{1}</p></article>", "Head {0} {1}"),
+])
+def test_html_layouts(page, wanted):
+    texts = [" ".join(rand_words(40, k)) + "." for k in (1, 2)]
+    assert html_extract.main_text("<html><body>" + page.format(*texts) + "<footer>By me</footer></body></html>", html_extract.train()) == wanted.format(*texts)
+
+
 def test_minimum_cut_is_least():
     rng = np.random.default_rng(0)
     for _ in range(30):
