@@ -53,7 +53,7 @@ def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     index, path = warc.archive(pages)
-    page_id = lambda c: F.when(F.col(c) != "", F.col(c)).cast(pages.schema["page_id"].dataType)
+    page_id = lambda c: F.col(c).cast(pages.schema["page_id"].dataType)
     found = warc.read(index, path)
     return found.select(page_id("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), page_id("refers_to").alias("refers_to"))
 

@@ -1,7 +1,8 @@
 """Secret scans: candidate tokens, and a random forest that removes the false ones; DataFrame functions only.
 
 A text is split before each candidate: a run of 16 or more token characters with
-a digit in it, or a quoted value that is assigned to a word for a secret.  A
+a digit in it, or a value of 6 or more characters, quoted or not, that is assigned
+to a word for a secret; the name is no part of it.  A
 candidate's features are its length, the transitions between its characters, how
 much of it dictionary words cover, the path it may be part of and the words next
 to it.  The forest is trained from labelled findings, at most
@@ -26,11 +27,12 @@ TREES, DEPTH, SEED = 20, 6, 11
 THRESHOLD = 0.5
 MOST_FINDINGS = 20_000
 REDACTED = "[SECRET]"
-_TOKEN = r"[A-Za-z0-9_+/=~-]"
+_TOKEN = r"[A-Za-z0-9_+/~-]"
 _NAMES = r"(?i:password|passwd|pwd|secret|token|api[_-]?key)"
-_ASSIGNED = rf"{_NAMES}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']"
-_RUN = rf"(?={_TOKEN}*[0-9]){_TOKEN}{{16,}}"
-_SPLIT = rf"(?<!{_TOKEN})(?={_RUN})|(?<![A-Za-z])(?={_ASSIGNED}[^\s\"']{{6}})"
+_ASSIGNED = rf"{_NAMES}[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?"
+_VALUE = r"[^\s\"'<>&;,()]{6,}"
+_RUN = rf"(?={_TOKEN}*[0-9]){_TOKEN}{{16,}}={{0,2}}"
+_SPLIT = rf"(?<!{_TOKEN})(?={_RUN})|(?<![A-Za-z])(?={_ASSIGNED}{_VALUE})"
 #: Words that tell what a token next to them, or made of them, is.
 _SECRET_WORDS = r"(?i)token|secret|passw|pwd|api.?key|auth|bearer|credential|private.?key|access.?key"
 _HARMLESS_WORDS = r"(?i)sha-?\d|sha\b|commit|md5|checksum|digest|integrity|revision|\brev\b|build|uuid|guid|etag|example|sample|dummy|order|phone|card|isbn|version|hash|trace|request.?id"
@@ -78,7 +80,12 @@ def generated_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, str, str
     out = []
     for _ in range(n):
         before, after, kind = words(4), words(2), rnd.random()
-        if kind < 0.42:
+        if kind < 0.06:
+            q = quote()
+            out.append((pick(lower, rnd.randint(3, 7)) + pick(alnum, rnd.randint(4, 8)) + pick(digits, 1), f"{before} {rnd.choice(['password', 'DB_PASSWORD', 'secret', 'pwd', 'passwd'])}{rnd.choice(['=', ' = ', ': '])}{q}", f"{q} {after}", 1))
+        elif kind < 0.10:
+            out.append((pick(lower, rnd.randint(6, 11)), f"{before} {name()}{rnd.choice([': ', ' = '])}", " " + after, 0))
+        elif kind < 0.42:
             q = quote()
             out.append((secret(), f"{before} {name()}{rnd.choice([' = ', '=', ': ', ':'])}{q}", f"{q} {after}", 1))
         elif kind < 0.47:
@@ -151,7 +158,7 @@ def scan(docs: DataFrame, text_col: str = "text", forest: str | None = None, thr
     forest = forest or train(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.withColumn("__pieces", F.split(text, _SPLIT))
-    assigned = rf"^({_ASSIGNED})([^\s\"']{{6,}})"
+    assigned = rf"^({_ASSIGNED})({_VALUE})"
     head = lambda p: F.regexp_extract(p, assigned, 1)
     value = lambda p: F.when(head(p) != "", F.regexp_extract(p, assigned, 2)).otherwise(F.regexp_extract(p, f"^{_RUN}", 0))
     ends = F.aggregate("__pieces", F.array(F.lit(0).cast("long")), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))))

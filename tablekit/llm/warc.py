@@ -25,7 +25,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -39,6 +39,8 @@ FILE_BYTES = 64 << 20
 #: Ranges of one file less than this apart are read together, up to READ_BYTES at once.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Archives are read by a task for about so many bytes of records, whole files to a task.
+TASK_BYTES = 16 << 20
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
 PROFILE = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -54,13 +56,24 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page: str, url: str, digest: str, size: int, payload: bytes | None, refers_to: str | None) -> bytes:
-    """One record; without a payload it revisits the page refers_to."""
+def record_id(page: str | None, url: str | None, digest: str, copy: int = 0) -> bytes:
+    """Of the page, and what tells its records apart; a page without id has another mark before it than one with an empty one."""
+    mark = "n" if page is None else "i" + quote(page, safe="")
+    return f"<urn:page:{digest}:{base32_sha1((url or '').encode())[:16]}:{copy}:{mark}>".encode()
+
+
+def _page_of(name: bytes) -> str | None:
+    mark = name[1:-1].decode().rsplit(":", 1)[1]
+    return unquote(mark[1:]) if mark[0] == "i" else None
+
+
+def record(name: bytes, url: str, digest: str, size: int, payload: bytes | None, refers_to: bytes | None) -> bytes:
+    """One record of that id; without a payload it revisits the one with the id refers_to."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http + (payload or b"")
-    lines = [VERSION, b"WARC-Type: " + (b"revisit" if payload is None else b"response"), b"WARC-Record-ID: <urn:page:%s>" % page.encode(), b"WARC-Date: " + DATE, b"WARC-Target-URI: " + quote(url, safe="%:/?#[]@!$&'()*+,;=~").encode(), b"WARC-Payload-Digest: sha1:" + digest.encode()]
+    lines = [VERSION, b"WARC-Type: " + (b"revisit" if payload is None else b"response"), b"WARC-Record-ID: " + name, b"WARC-Date: " + DATE, b"WARC-Target-URI: " + quote(url, safe="%:/?#[]@!$&'()*+,;=~").encode(), b"WARC-Payload-Digest: sha1:" + digest.encode()]
     if payload is None:
-        lines += [b"WARC-Profile: " + PROFILE, b"WARC-Refers-To: <urn:page:%s>" % refers_to.encode()]
+        lines += [b"WARC-Profile: " + PROFILE, b"WARC-Refers-To: " + refers_to]
     lines += [b"Content-Type: application/http; msgtype=response", b"Content-Length: %d" % len(block)]
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -78,7 +91,7 @@ def parse(raw: bytes) -> dict:
     http, _, payload = block.partition(b"\r\n\r\n")
     size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
     kind = fields[b"WARC-Type"].decode()
-    return {"type": kind, "size": size, "digest": fields[b"WARC-Payload-Digest"].decode().removeprefix("sha1:"), "payload": payload if kind == "response" else None, "page": fields[b"WARC-Record-ID"][10:-1].decode(), "refers_to": fields[b"WARC-Refers-To"][10:-1].decode() if b"WARC-Refers-To" in fields else None}
+    return {"type": kind, "size": size, "digest": fields[b"WARC-Payload-Digest"].decode().removeprefix("sha1:"), "payload": payload if kind == "response" else None, "page": _page_of(fields[b"WARC-Record-ID"]), "refers_to": _page_of(fields[b"WARC-Refers-To"]) if b"WARC-Refers-To" in fields else None}
 
 
 _INDEX = "file string, offset long, length long, page string, url string, digest string, type string"
@@ -105,28 +118,28 @@ def _write(rows: DataFrame, known: DataFrame, path: str) -> DataFrame:
         F.col("__id").alias("k_id"), F.col("__url").alias("k_url"), F.col("__sha").alias("k_sha"),
         F.coalesce("__head_found", F.lit(False)).alias("shared"),
         (F.col("__head_found").isNull() | is_head).alias("head"),
-        F.coalesce(F.col("__head").cast("string"), F.lit("")).alias("head_page"),
+        F.col("__head").cast("string").alias("head_page"), F.col("__head_url").alias("head_url"),
     )
     met = rows.join(known, rows["__sha"].eqNullSafe(known["k_sha"]) & rows["__id"].eqNullSafe(known["k_id"]) & rows["__url"].eqNullSafe(known["k_url"]))
-    page = F.coalesce(F.col("__id").cast("string"), F.lit("")).alias("page")
-    met = met.select(page, F.col("__url").alias("url"), F.col("__sha").alias("sha"), "shared", "head", "head_page", F.col("__payload").alias("payload"))
+    met = met.select(F.col("__id").cast("string").alias("page"), F.col("__url").alias("url"), F.col("__sha").alias("sha"), "shared", "head", "head_page", "head_url", F.col("__payload").alias("payload"))
     return met.sortWithinPartitions("sha", "page", "url").mapInArrow(lambda batches: _write_files(batches, path), _INDEX)
 
 
 def _write_files(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     fs, root = file_system(path)
-    out, name, at, last, rows = None, "", 0, None, []
+    out, name, at, last, copy, rows = None, "", 0, None, 0, []
     made = False
     for batch in batches:
         if batch.num_rows and not made:
             fs.create_dir(root, recursive=True)
             made = True
-        for page, url, sha, shared, head, head_page, payload in zip(*(c.to_pylist() for c in batch.columns)):
+        for page, url, sha, shared, head, head_page, head_url, payload in zip(*(c.to_pylist() for c in batch.columns)):
             key = (page, url, sha)
-            first = head and (not shared or key != last)
+            copy = copy + 1 if key == last else 0
+            first = head and (not shared or not copy)
             last = key
             digest = base32_sha1(payload)
-            raw = record(page, url or "", digest, len(payload), payload if first else None, None if first else head_page)
+            raw = record(record_id(page, url, digest, copy), url or "", digest, len(payload), payload if first else None, None if first else record_id(head_page, head_url, digest))
             packer = zlib.compressobj(1, wbits=31)
             member = packer.compress(raw) + packer.flush()
             if out is not None and at + len(member) > FILE_BYTES:
@@ -169,7 +182,8 @@ def read(index: DataFrame, path: str) -> DataFrame:
 
     The digest of a response is that of the payload as read; that of a revisit is its header's.
     """
-    source = index.select("file", "offset", "length", "url").repartition("file").sortWithinPartitions("file", "offset")
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES))
+    source = index.select("file", "offset", "length", "url").repartition(tasks, "file").sortWithinPartitions("file", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = file_system(path)

@@ -147,11 +147,16 @@ def test_warc(spark):
     rows = [(1, "http://a/é", "same"), (2, "http://b", "same"), (2, "http://b", "same"), (None, None, None), (3, "u", "x\r\n\r\ny" * 2000), (4, "u", "é")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
     index, path = warc.archive(df)
-    got = sorted((r["page"], r["type"], r["payload_bytes"], r["digest"], r["refers_to"] or "") for r in warc.read(index, path).collect())
+    got = sorted((r["page"] or "", r["type"], r["payload_bytes"], r["digest"], r["refers_to"] or "") for r in warc.read(index, path).collect())
     d = lambda x: warc.base32_sha1(x.encode())
     assert got == sorted([("1", "revisit", 4, d("same"), "2"), ("2", "response", 4, d("same"), ""), ("2", "revisit", 4, d("same"), "2"), ("", "response", 0, d(""), ""), ("3", "response", 12000, d("x\r\n\r\ny" * 2000), ""), ("4", "response", 2, d("é"), "")])
     assert list(warc.ranges([(0, 10), (10, 5), (100_000, 5)])) == [(0, 15, [0, 1]), (100_000, 100_005, [2])]
     assert warc.read(index.filter("page = '3'"), path).count() == 1
+    named = spark.createDataFrame([("", "u", "x"), (None, "v", "y"), ("a:b>", "u", "x"), ("a:b>", "u", "x"), ("c", "w", "")], "page_id string, url string, html string")
+    index, path = warc.archive(named)
+    back = sorted((str(r["page"]), r["type"], str(r["refers_to"])) for r in warc.read(index, path).collect())
+    assert back == [("", "revisit", "a:b>"), ("None", "response", "None"), ("a:b>", "response", "None"), ("a:b>", "revisit", "a:b>"), ("c", "response", "None")]
+    assert len({warc.record_id("p", "u", "D", k) for k in range(3)} | {warc.record_id(None, "u", "D"), warc.record_id("", "u", "D")}) == 5
     empty, path = warc.archive(df.limit(0))
     assert warc.read(empty, path).count() == 0
 
@@ -237,6 +242,10 @@ def test_secrets(spark, edge):
     got = {(r["doc_id"], r["candidate"]): r for r in secrets.findings(df).collect()}
     assert got[11, key]["secret"] and rows[0][1][got[11, key]["start"] : got[11, key]["end"]] == key
     assert not got[12, key]["secret"] and not got[13, "4785380592391139"]["secret"] and (14, "hunter-two-b") in got
+    named = spark.createDataFrame([(1, f"export api_key={key}"), (2, f"http://h/p?token={key}&x=1"), (3, "DB_PASSWORD=hunter2sekret"), (4, f"x={key}=="), (5, "the token: something else")], "doc_id long, text string")
+    found = {r["doc_id"]: (r["start"], r["candidate"], r["secret"]) for r in secrets.findings(named).collect()}
+    assert found[1] == (15, key, True) and found[2] == (17, key, True) and found[3] == (12, "hunter2sekret", True) and found[4][:2] == (2, key + "==") and not found[5][2]
+    assert secrets.redact(named).filter("doc_id = 2").first()["text"] == "http://h/p?token=[SECRET]&x=1"
     assert secrets.redact(df).filter("doc_id = 11").first()["text"] == 'La rivera token = "[SECRET]" and more'
     assert secrets.redact(edge).select(edge.columns).exceptAll(edge).count() == 0 and secrets.findings(edge.limit(0)).count() == 0
     held = secrets.generated_findings(300, 77)
