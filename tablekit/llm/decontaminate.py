@@ -27,8 +27,8 @@ from tablekit.llm.common import Words, buffers, pieces, text_digest, written
 
 SPAN = 10
 K = 5
-#: A benchmark of at most this many bytes of text is broadcast; a larger one is joined in shuffles.
-BROADCAST_BYTES = 32 << 20
+#: A benchmark of at most this many bytes of text is broadcast, as an index about ten times as large; a larger one is joined in shuffles.
+BROADCAST_BYTES = 8 << 20
 _MOST = np.uint64(2**64 - 1)
 
 
@@ -48,37 +48,39 @@ def winnow(grams: np.ndarray, same: np.ndarray, window: int) -> np.ndarray:
 
 
 class Benchmark:
-    """The spans of some items, by hash, and their fingerprints."""
+    """The spans of some items, by hash, and their fingerprints, in packed arrays."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], span: int = SPAN, k: int = K):
         self.span, self.k, self.window = span, min(k, span), span - min(k, span) + 1
-        texts = pa.array([t or "" for _, t in items], pa.large_string())
-        words = Words(*buffers(texts))
-        prints: dict[int, list[np.ndarray]] = {}
-        #: hash of a span -> (its words, the ids of items that have it), by its number of words
-        self.spans: dict[int, dict[int, tuple[list[bytes], set]]] = {}
+        self.words = words = Words(*buffers(pa.array([t or "" for _, t in items], pa.large_string())))
+        self.names = sorted({i for i, _ in items if i is not None})
+        number = {x: n for n, x in enumerate(self.names)}
+        item = np.array([number.get(i, -1) for i, _ in items], np.int64)
+        counts, text = words.counts(), np.repeat(np.arange(len(items)), words.counts())
         grams, same = words.grams(self.k)
-        chosen = np.zeros(len(grams), bool)
-        chosen[winnow(grams, same, self.window)] = True
-        spans, _ = words.grams(span)
-        for i, (item, _) in enumerate(items):
-            a, b = int(words.first[i]), int(words.first[i + 1])
-            if b - a >= span:
-                prints.setdefault(self.k, []).append(grams[a : b - self.k + 1][chosen[a : b - self.k + 1]])
-                for p in range(a, b - span + 1):
-                    self._add(span, int(spans[p]), words, p, item)
-            elif b > a:
-                own, _ = words.grams(b - a)
-                prints.setdefault(-(b - a), []).append(own[a : a + 1])
-                self._add(b - a, int(own[a]), words, a, item)
+        at = winnow(grams, same, self.window)
+        at = at[counts[text[at]] >= span] if len(at) else at
         #: by k; of whole short items, by the negative number of their words
-        self.prints = {n: np.unique(np.concatenate(x)) for n, x in prints.items()}
-        self.keys = {n: np.sort(np.array(list(x), np.uint64)) for n, x in self.spans.items()}
-
-    def _add(self, n: int, key: int, words: Words, p: int, item: str | None) -> None:
-        found = self.spans.setdefault(n, {}).setdefault(key, (words.strings(p, p + n), set()))
-        if item is not None:
-            found[1].add(item)
+        self.prints = {self.k: np.unique(grams[at])} if len(at) else {}
+        #: by the number of words: hashes of spans, a place each in words, and the items that have them, by bounds
+        self.spans: dict[int, tuple[np.ndarray, ...]] = {}
+        for n in sorted({min(span, c) for c in counts.tolist() if c}):
+            grams, same = words.grams(n)
+            at = np.flatnonzero(same)
+            at = at[(counts[text[at]] >= span) if n == span else (counts[text[at]] == n)]
+            self.spans[n] = self._packed(grams[at], at, item[text[at]])
+            if n < span:
+                self.prints[-n] = self.spans[n][0]
+        del words.hashes
+
+    @staticmethod
+    def _packed(keys: np.ndarray, places: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((items, keys))
+        keys, places, items = keys[order], places[order], items[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        new = np.append(True, (keys[1:] != keys[:-1]) | (items[1:] != items[:-1])) & (items >= 0)
+        bounds = np.searchsorted(np.flatnonzero(new), np.append(first, len(keys)))
+        return keys[first], places[first], bounds, items[new].astype(np.int32)
 
     def hits(self, data: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, list[str], list[tuple[int, int]]]]:
         """Of each text: words, words hit, ids of items, and the spans of words that are hit."""
@@ -102,18 +104,18 @@ class Benchmark:
         """Tests every span that holds a seed, and marks those that some item has."""
         if not len(seeds):
             return
-        keys, (grams, same) = self.spans[span], words.grams(span)
+        (keys, places, bounds, of), (grams, same) = self.spans[span], words.grams(span)
         starts = np.unique((seeds[:, None] - np.arange(span - size + 1)).ravel())
         starts = starts[(starts >= 0) & (starts < len(grams))]
         starts = starts[same[starts]]
-        starts = starts[_isin(grams[starts], self.keys[span])]
+        starts = starts[_isin(grams[starts], keys)]
         text = np.searchsorted(words.first, starts, side="right") - 1
-        for p, i in zip(starts.tolist(), text.tolist()):
-            own, ids = keys[int(grams[p])]
-            if words.strings(p, p + span) == own:
+        for p, i, at in zip(starts.tolist(), text.tolist(), np.searchsorted(keys, grams[starts]).tolist()):
+            there = int(places[at])
+            if words.strings(p, p + span) == self.words.strings(there, there + span):
                 hit[p] += 1
                 hit[p + span] -= 1
-                items.setdefault(i, set()).update(ids)
+                items.setdefault(i, set()).update(self.names[x] for x in of[bounds[at] : bounds[at + 1]].tolist())
 
 
 def _isin(values: np.ndarray, of: np.ndarray) -> np.ndarray:

@@ -86,6 +86,84 @@ def test_decontaminate(spark, edge):
     assert decontaminate.keep(edge, b).columns == edge.columns
 
 
+def test_benchmark_index_is_packed():
+    import pickle
+
+    items = [(str(i), " ".join(rand_words(200, i))) for i in range(200)]
+    size = sum(len(t) for _, t in items)
+    index = decontaminate.Benchmark(items)
+    assert len(pickle.dumps(index, protocol=5)) < 12 * size
+    text = " ".join(items[7][1].split()[20:33])
+    (n, hit, ids, spans), = index.hits(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    assert (n, hit, ids, spans) == (13, 13, ["7"], [(0, 13)])
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """All stages on a small corpus; what is kept is told by plain Python."""
+    P = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    clean = {i: " ".join(rand_words(60, i)) for i in range(40)}
+    key = hashlib.sha1(b"k").hexdigest()
+    item = rand_words(30, 900)
+    texts = dict(clean) | {
+        50: clean[3],  # an exact copy
+        51: clean[4] + " more",  # a near copy
+        **{100 + i: " ".join(x + "%%%" for x in rand_words(60, 50 + i % 2)) for i in range(80)},  # nothing trusted is like that
+        54: "too few words",
+        55: " ".join(rand_words(8, 60) * 6),  # repeated windows
+        56: " ".join(rand_words(40, 61) + item[5:20]),  # a benchmark passage
+        57: " ".join(rand_words(40, 62)) + f' token = "{key}"',
+        58: None, 59: "",
+    }
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_words string"
+    spark.createDataFrame([(i, t, "en", "s", len(t or ""), "clash") for i, t in texts.items()], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(56, 1, 0), (57, 1, 0), (51, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    ratios = quality.judge(spark.read.parquet(str(tmp_path / "documents.parquet")), spark.createDataFrame([(i,) for i in [*range(40), 51, 56, 57]], "doc_id long"))
+    good = {r["doc_id"] for r in ratios.collect() if r["kept"]}
+    assert good == {*range(40), 50, 51, 56, 57}  # as test_quality_score_against_brute_force holds the scores
+    wanted = {i: t.replace(key, secrets.REDACTED) for i, t in texts.items() if i in good - {50, 51, 56}}
+    tokenizer = Tokenizer.from_file(str(P.path("byte_bpe_50k.json")))
+    digest = lambda x: hashlib.sha256(x).hexdigest()
+    ids = {i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in wanted.items()}
+    expected = sorted((i, len(x), digest(np.array(x, "<u4").tobytes()), digest(tokenizer.decode(x, skip_special_tokens=False).encode())) for i, x in ids.items())
+    assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect())) == expected
+    for name in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(str(tmp_path / f"{name}.parquet"))
+        df.limit(0).write.parquet(str(tmp_path / "none" / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "secrets", "bpe"]
+
+
+def test_queries_have_their_columns(spark):
+    """The registered queries over a table of the driver's, by columns and types; and over empty tables."""
+    from tablekit.llm import queries
+
+    kinds = {
+        "op2_decontaminate": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+        "op4_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+        "op5_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+        "op6_html_extract": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+        "op7_warc": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
+        "op8_quality": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+        "op9_substring_dup": {"doc_id": "bigint", "class_id": "bigint", "n_repeated": "bigint"},
+        "op10_url_filter": {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    }
+    import pathlib
+
+    sf = pathlib.Path("/root/testdata/sf0.001")
+    if not sf.exists():
+        pytest.skip("no test data")
+    for name, columns in kinds.items():
+        if name == "op5_bpe":
+            pytest.importorskip("public_tokenizers")
+        found = dict(queries.queries()[name](spark, str(sf)).dtypes)
+        assert {c: found.get(c) for c in columns} == columns, name
+
+
 def test_bpe(spark, edge):
     P = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
