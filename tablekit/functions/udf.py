@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def digit_sum(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The sum of the decimal digits of whole numbers, whatever their sign; null for null."""
     for v in values:
@@ -18,13 +19,13 @@ def digit_sum(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def middle(values: pd.Series) -> float:
     """The median of a group; null without values."""
     return float(values.median()) if values.notna().any() else None
 
 
-@F.udtf(returnType="part int, word string")
+@F.udtf(returnType=T.StructType([T.StructField("part", T.IntegerType()), T.StructField("word", T.StringType())]))
 class Words:
     """The words of a text between single spaces, numbered from 0; none for null."""
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -534,18 +534,21 @@ def _drained(spark: SparkSession, stream: DataFrame, mode: str = "append") -> Da
 
 
 _HOURS = "SELECT event_type, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS window_start, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) + 3600000000 AS window_end, CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL"
-_SUMS = [F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")]
+
+
+def _sums() -> list[Column]:
+    return [F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total")]
 
 
 @_query(_HOURS)
 def stream_tumbling(spark, sf_dir):
-    return _drained(spark, windowed(_event_stream(spark, sf_dir), "time", "1 hour", ["event_type"], _SUMS), "complete")
+    return _drained(spark, windowed(_event_stream(spark, sf_dir), "time", "1 hour", ["event_type"], _sums()), "complete")
 
 
 @_query(f"SELECT * FROM ({_HOURS}) WHERE window_end <= (SELECT epoch_us(max(ts)) - 600000000 FROM events)")
 def stream_watermark(spark, sf_dir):
     """Only the windows that the watermark, ten minutes behind the latest event, has closed."""
-    return _drained(spark, windowed(_event_stream(spark, sf_dir), "time", "1 hour", ["event_type"], _SUMS, delay="10 minutes"))
+    return _drained(spark, windowed(_event_stream(spark, sf_dir), "time", "1 hour", ["event_type"], _sums(), delay="10 minutes"))
 
 
 @_query("SELECT epoch_us(time_bucket(INTERVAL 30 MINUTE, ts)) - k * 1800000000 AS window_start, epoch_us(time_bucket(INTERVAL 30 MINUTE, ts)) - k * 1800000000 + 3600000000 AS window_end, CAST(count(*) AS BIGINT) AS n FROM events, (SELECT unnest([0, 1]) AS k) GROUP BY ALL")

@@ -271,3 +271,13 @@ def test_versions_of_a_table(catalog):
     assert len(many.snapshots.latest().manifests) == 2 and rows_of(many.to_df()) == [(0,), (1,), (2,), (3,), (9,)]
     rb = many.new_read_builder()
     assert len(rb.with_filter(rb.new_predicate_builder().equal("x", 9)).new_scan().plan().splits()[0].files) == 1
+
+
+def test_entry_imports_without_a_session():
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).parents[1]
+    found = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert e.queries().keys() >= e.oracle_sql().keys()"], cwd=root, capture_output=True, text=True)
+    assert found.returncode == 0, found.stderr
