@@ -421,6 +421,21 @@ def test_passages_of_a_group_of_changed_copies(spark, small):
     assert len(got) >= len(linked) - (0 if small == 64 else 3)  # what large keys may miss, as the operator says
 
 
+def test_near_passages_of_large_keys_are_whole(spark):
+    """Changed copies behind a line that all have, each like a few others only: large keys give the classes of all pairs, by brute force."""
+    line, passage, texts = rand_words(20, 3), rand_words(150, 1), []
+    for i in range(80):
+        rng, copy = np.random.default_rng(1000 + i), list(passage)
+        for k in rng.choice(150, rng.integers(2, 14), replace=False):
+            copy[k] = f"c{i}x{k}"
+        texts.append(" ".join(rand_words(40, 2000 + i) + copy + rand_words(40, 3000 + i) + line))
+    for i in range(30):  # the same line, and nothing else
+        texts.append(" ".join(rand_words(60, 4000 + i) + line + rand_words(60, 5000 + i)))
+    wanted = components_of(len(texts), links_by_brute_force(texts))
+    got = {r["doc_id"]: r["class_id"] for r in substring_dup.duplicate_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), small=2).collect()}
+    assert got == {i: c for i, c in enumerate(wanted) if wanted.count(c) > 1} and 60 < len(got) <= 80
+
+
 def test_exact_passages_of_large_groups(spark):
     """Of any group the exact passages are whole, also where they are longer between some of its texts."""
     shared, more = rand_words(60, 5), rand_words(40, 6)
